@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewrecon.llm.line_dedup import OP5_SQL, op5_line_dedup
+from viewrecon.llm.mixing import op2_mixing
 from viewrecon.llm.quality_rules import op10_quality_rules
+from viewrecon.llm.sharding import op4_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op10_quality_rules,)
+    f.__name__: f for f in (op2_mixing, op4_sharding, op5_line_dedup, op10_quality_rules)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_line_dedup": OP5_SQL}
