@@ -22,7 +22,7 @@ from viewrecon.llm.scratch import stage
 from viewrecon.llm.words import LOWER, SPACE_CHARS, UPPER, lower_ascii
 
 #: Parts that the documents of one hash are dealt into before they meet.
-SALTS = 4096
+SALTS = 256
 MIN_CHARS, MIN_DOCS = 40, 5
 
 
