@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -29,6 +30,8 @@ from viewrecon.llm.samples import fold, labelled_texts
 
 #: Texts of each class in the training sample, the bytes of the longest, and the most terms of a lexicon.
 SAMPLE, MAX_BYTES, TERMS = 3000, 1 << 15, 4000
+#: Words of clean texts, the most frequent, that are never taken for misspelt terms.
+CLEAN = 100_000
 #: Words on either side of a hit that tell quotation from abuse.
 WINDOW = 4
 #: States and words that are remembered before the memory starts afresh.
@@ -184,6 +187,21 @@ class Lexicon:
         return opens and any(w.rstrip(".,;:!?")[-1:] in QUOTES and len(w) > 1 for w in near[at:])
 
 
+def without_copies(texts: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Without texts that share half of their eight smallest word hashes with an earlier one: the words of copies don't count twice."""
+    seen: dict[int, list[int]] = {}
+    out = []
+    for k, (text, label) in enumerate(texts):
+        least = sorted({zlib.crc32(w.encode()) for w in set(text.split())})[:8]
+        met = Counter(j for h in least for j in seen.get(h, ()))
+        if least and met and 2 * max(met.values()) >= len(least):
+            continue
+        for h in least:
+            seen.setdefault(h, []).append(k)
+        out.append((text, label))
+    return out
+
+
 def find_terms(texts: list[tuple[str, int]]) -> tuple[dict[str, float], frozenset[str]]:
     """Terms with the log odds of toxic texts to clean ones, and the words of clean texts."""
     counts = (Counter(), Counter())
@@ -193,21 +211,28 @@ def find_terms(texts: list[tuple[str, int]]) -> tuple[dict[str, float], frozense
         sizes[label] += 1
     clean, toxic = counts
     if not sizes[0] or not sizes[1]:
-        return {}, frozenset(clean)
+        return {}, frozenset()
+    share = sizes[1] / (sizes[0] + sizes[1])
+    sure = math.log(len(toxic) + 1) + 3  # as many words as are tried come out by chance below this
     scored = []
     for word, n in toxic.items():
-        odds = math.log((n + 0.1) / (sizes[1] + 0.2)) - math.log((clean[word] + 0.1) / (sizes[0] + 0.2))
-        # Rare words of a toxic text are mostly ordinary: a term must recur, and the more so the fewer clean texts there are.
-        if n >= max(3, 0.004 * sizes[1]) and odds > 2.5 and len(word) >= 3:
-            scored.append((odds * math.log1p(n), word, odds))
+        c = clean[word]
+        if len(word) < 3 or n <= share * (n + c):
+            continue
+        surprise = n * math.log(n / (n + c) / share) + (c * math.log(c / (n + c) / (1 - share)) if c else 0.0)
+        odds = math.log((n + 0.1) / (sizes[1] + 0.2)) - math.log((c + 0.1) / (sizes[0] + 0.2))
+        if surprise > sure and odds > 2.5:
+            scored.append((surprise, word, odds))
     scored.sort(reverse=True)
     weights = {word: odds for _, word, odds in scored[:TERMS]}
-    return weights, frozenset(w for w in clean if w not in weights)
+    common = sorted((-n, w) for w, n in clean.items() if w not in weights)[:CLEAN]
+    return weights, frozenset(w for _, w in common)
 
 
 class Scorer:
     def __init__(self, texts: list[tuple[str, int]], share: float | None = None):
         """texts: (text, label); share: of class 1 among the labelled rows, if the sample does not show it."""
+        texts = without_copies(texts)
         y = np.array([label for _, label in texts], float)
         self.coefficients, self.lexicon = np.zeros(Lexicon.FEATURES), Lexicon(*find_terms(texts))
         if len(set(y.tolist())) < 2:
@@ -228,23 +253,29 @@ class Scorer:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> tuple[np.ndarray, float]:
-    """Newton's method with a ridge; evidence of toxicity never lowers a score."""
-    free = np.ones(x.shape[1], bool)
+    """Newton's method with a ridge on scaled features; evidence of toxicity never lowers a score."""
+    scale = np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
+    free = x.std(axis=0) > 0
     while True:
-        xs = np.hstack([x[:, free], np.ones((len(x), 1))])
-        w = np.zeros(xs.shape[1])
+        xs = np.hstack([x[:, free] / scale[free], np.ones((len(x), 1))])
         penalty = np.r_[np.full(xs.shape[1] - 1, ridge), 1e-6]
+        w = np.zeros(xs.shape[1])
+        w[-1] = math.log(y.mean() / (1 - y.mean()))
+        loss = lambda w: np.logaddexp(0, np.where(y > 0, -1, 1) * (xs @ w)).sum() + (penalty * w * w).sum() / 2
         for _ in range(60):
             p = 1 / (1 + np.exp(-np.clip(xs @ w, -30, 30)))
-            step = np.linalg.solve((xs * (p * (1 - p))[:, None]).T @ xs + np.diag(penalty), xs.T @ (y - p) - penalty * w)
-            w += np.clip(step, -3, 3)
+            step = np.linalg.solve((xs * (p * (1 - p))[:, None]).T @ xs + np.diag(penalty + 1e-9), xs.T @ (y - p) - penalty * w)
+            size = 1.0
+            while loss(w + size * step) > loss(w) and size > 1e-6:
+                size /= 2
+            w = w + size * step
             if np.abs(step).max() < 1e-8:
                 break
-        if (w[:-1] >= 0).all():
+        if len(w) == 1 or (w[:-1] >= 0).all():
             out = np.zeros(x.shape[1])
-            out[free] = w[:-1]
+            out[free] = w[:-1] / scale[free]
             return out, float(w[-1])
-        free[np.flatnonzero(free)[w[:-1] < 0]] = False
+        free[np.flatnonzero(free)[w[:-1].argmin()]] = False
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, max_bytes: int = MAX_BYTES) -> Scorer:
