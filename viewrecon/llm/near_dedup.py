@@ -200,9 +200,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component; repeats of such a row stay one row."""
-    lost = near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti")
+    """One row of each component: that of its smallest ``doc_id``. Of rows that repeat it one stays; rows with a null ``doc_id`` stay."""
+    verdicts = stage(near_duplicates(docs.select("doc_id", "text")), "verdicts")
+    rest = docs.join(verdicts.filter(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    repeated = verdicts.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return rest
+    single = rest.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    return single.unionByName(rest.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
 
 
 def recall_at_leaf(similarity: float, coordinates: int = math.ceil(TREES * 4 / 3)) -> float:

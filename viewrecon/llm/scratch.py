@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _paths: dict[str, list[str]] = {}
+_recorders: list[list[str]] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -29,19 +32,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/viewrecon/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for made in _recorders:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(df_or_path: DataFrame | str, spark: SparkSession | None = None) -> None:
+@contextmanager
+def record() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are staged meanwhile."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders[:] = [m for m in _recorders if m is not made]
+
+
+def drop(spark: SparkSession, path: str) -> None:
     """Delete one staged table that nothing reads any more."""
-    if isinstance(df_or_path, DataFrame):
-        spark = df_or_path.sparkSession
-        for folder in {f.rsplit("/", 1)[0] for f in df_or_path.inputFiles()}:
-            drop(folder, spark)
-        return
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(df_or_path)
-    path.getFileSystem(conf).delete(path, True)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def release(spark: SparkSession) -> None:
@@ -50,4 +60,4 @@ def release(spark: SparkSession) -> None:
     Results are lazy and read staged tables, so call this only when the results wanted have been written.
     """
     for path in _paths.pop(spark.sparkContext.applicationId, []):
-        drop(path, spark)
+        drop(spark, path)
