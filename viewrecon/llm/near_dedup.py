@@ -6,8 +6,9 @@ with equal sets form one class, and only classes are joined. Independent trees b
 by its value there, so that a linked pair stays together in about one child on average. Nodes of up to LEAF
 classes are compared exhaustively; a larger node compares all with one pivot and branches on. Signatures
 sift the pairs, whole texts confirm them: first at most one pair for each class, which settles dense
-groups in linear work, then all sifted pairs whose ends are still in different components. What is still large
-at the last level compares the classes outside the node's largest component with all of its classes.
+groups in linear work, then all sifted pairs whose ends are still in different components. Nodes that are still
+large at the last level join into crowds; a crowd's classes outside its largest component meet all of its
+classes in blocks, where intersections are counted for all pairs at once and only links come out.
 
 Defined results: null, empty or word-free text is linked with nothing; rows that share a ``doc_id`` are taken
 to hold the same text; rows with a null ``doc_id`` take no part and stay; an empty table gives an empty
@@ -37,6 +38,10 @@ SIFT = 31
 SURE = 56
 #: Texts that are compared with one copy of their partner.
 SLICE = 128
+#: Classes of a crowd on either side of a block.
+BLOCK = 256
+#: Ids of documents up to which they are broadcast to find their texts; beyond it both sides are shuffled.
+BROADCAST_IDS = 500_000
 
 _rng = np.random.Generator(np.random.PCG64(8))
 _FACTORS = _rng.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -142,15 +147,105 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "first", "id").mapInArrow(_confirm, f"u {kind}, v {kind}")
 
 
-def _outsiders(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): in each node the classes outside its largest component, with all classes of other components."""
-    known = stage(rows.join(labels, "id"), "large_nodes")
-    sizes = known.groupBy("path", "root").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("path").agg(F.max(F.struct("n", "root"))["root"].alias("most"), F.count("*").alias("roots")).filter("roots > 1")
-    mixed = known.join(most.select("path", "most"), "path")
-    out = mixed.filter("root <> most").select("path", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    met = mixed.select("path", F.col("id").alias("a"), "root", "most").join(out, "path").filter("root <> root_b AND (root = most OR a < b)")
-    return met.select("a", "b").distinct()
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, text) of the documents in some pairs. Few ids are broadcast, so that the texts of all others stay where they are."""
+    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    rows = docs.select(F.col("doc_id").alias("id"), "text")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")
+
+
+def _labels(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, root) of every class."""
+    return classes.select("id").join(links.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The (a, b) whose ends are in different components."""
+    side = lambda k: labels.select(F.col("id").alias(k), F.col("root").alias(f"root_{k}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter("root_a <> root_b").select("a", "b")
+
+
+def _crossed(held: list[tuple[int, object, object, np.ndarray]]) -> Iterator[tuple[object, object]]:
+    """held: (role, id, root, shingles), outsiders with role 0. For each outsider one link to each other component met here.
+
+    Intersections are counted for all pairs at once, over the shingles that both sides hold.
+    """
+    left, right = ([h for h in held if h[0] == role] for role in (0, 1))
+    if not left or not right:
+        return
+    sides = [np.concatenate([h[3] for h in side]) for side in (left, right)]
+    shared = np.intersect1d(*sides)
+    counts = np.zeros((len(left), len(right)), np.float32)
+    wide = [np.searchsorted(shared, x) for x in sides]
+    hit = [(w < len(shared)) & (shared[np.minimum(w, len(shared) - 1)] == x) if len(shared) else np.zeros(len(x), bool) for w, x in zip(wide, sides, strict=True)]
+    row = [np.repeat(np.arange(len(side)), [len(h[3]) for h in side]) for side in (left, right)]
+    at = [(w[h], r[h]) for w, h, r in zip(wide, hit, row, strict=True)]
+    for begin in range(0, len(shared), 4096):
+        part = []
+        for (w, r), side in zip(at, (left, right), strict=True):
+            some = (w >= begin) & (w < begin + 4096)
+            m = np.zeros((len(side), min(4096, len(shared) - begin)), np.float32)
+            m[r[some], w[some] - begin] = 1
+            part.append(m)
+        counts += part[0] @ part[1].T
+    n = [np.array([len(h[3]) for h in side]) for side in (left, right)]
+    linked = (counts > 0) & (100 * counts >= PERCENT * (n[0][:, None] + n[1][None, :] - counts))
+    for i, j_all in ((i, np.flatnonzero(linked[i])) for i in range(len(left))):
+        seen = {left[i][2]}
+        for j in j_all:
+            if right[j][2] not in seen:
+                seen.add(right[j][2])
+                yield left[i][1], right[j][1]
+
+
+def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a group follow each other; a group has about 2 * BLOCK rows at most."""
+    group, held, kind = None, [], None
+    u: list = []
+    v: list = []
+
+    def close() -> None:
+        for x, y in _crossed(held):
+            u.append(x)
+            v.append(y)
+
+    for batch in batches:
+        kind = batch.column(4).type
+        keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+        for key, role, me, root, s in zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), shingle_sets(batch.column(6)), strict=True):
+            if key != group:
+                close()
+                group, held = key, []
+            held.append((role, me, root, s))
+        yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
+        u.clear()
+        v.clear()
+    close()
+    if u:
+        yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
+
+
+def _crowds(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (u, v) across components among the classes of large nodes, rows (path, id).
+
+    Large nodes that share classes form a crowd. Its classes outside its largest component meet all of its
+    classes, in blocks that each are one group of rows: texts move, pairs don't.
+    """
+    nodes = rows.groupBy("path").agg(F.min("id").alias("first"))
+    crowd = components(rows.join(nodes, "path").select(F.col("id").alias("u"), F.col("first").alias("v")))
+    ids = rows.select("id").distinct().join(crowd.select(F.col("u").alias("id"), F.col("v").alias("crowd")), "id", "left")
+    known = stage(ids.select("id", F.coalesce("crowd", "id").alias("crowd")).join(labels, "id"), "crowds")
+    roots = known.groupBy("crowd", "root").agg(F.count("*").alias("n"))
+    sizes = roots.groupBy("crowd").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")).filter("roots > 1")
+    sizes = sizes.select("crowd", F.col("most.root").alias("most"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("out_blocks"))
+    open_ = stage(known.join(sizes, "crowd"), "crowds")
+    place = lambda seed, blocks: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(blocks)).cast("int")
+    out = open_.filter("root <> most").select("crowd", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root")
+    all_ = open_.select("crowd", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root")
+    texts = stage(_texts_of(docs, open_.select(F.col("id").alias("a"), F.col("id").alias("b"))), "texts")
+    rows = out.union(all_).join(texts, "id").select("crowd", "ob", "mb", "role", "id", "root", "text")
+    kind = labels.schema["id"].dataType.simpleString()
+    return rows.repartition("crowd", "ob", "mb").sortWithinPartitions("crowd", "ob", "mb", "role", "id").mapInArrow(_cross, f"u {kind}, v {kind}")
 
 
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -170,24 +265,14 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for more in found[1:]:
         pairs = pairs.union(more)
     sifted = stage(_sifted(pairs.distinct(), classes), "pairs")
-    needed = sifted.select(F.col("a").alias("id")).union(sifted.select(F.col("b").alias("id"))).distinct()
-    texts = stage(docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id"), "texts")
+    texts = stage(_texts_of(docs, sifted), "texts")
     best = F.min(F.struct((-F.least("same", F.lit(SURE))).alias("k"), F.xxhash64("a").alias("o"), F.col("a").alias("a")))
-    first = sifted.groupBy("b").agg(best["a"].alias("a")).select("a", "b")
+    first = stage(sifted.groupBy("b").agg(best["a"].alias("a")).select("a", "b"), "first_pairs")
     links = components(_confirmed(first, texts))
-
-    def labelled(ids: DataFrame) -> DataFrame:
-        return ids.join(links.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-
-    labels = labelled(classes.select("id"))
-    more = _sifted(_outsiders(rest, labels), classes)
-    open_ = stage(sifted.unionByName(more).select("a", "b").distinct(), "open_pairs")
-    open_ = open_.join(labels.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a").join(labels.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b").filter("ra <> rb").select("a", "b")
-    open_ = open_.join(first, ["a", "b"], "left_anti")
-    late = open_.select(F.col("a").alias("id")).union(open_.select(F.col("b").alias("id"))).distinct()
-    missing = late.join(needed, "id", "left_anti")
-    more_texts = stage(docs.select(F.col("doc_id").alias("id"), "text").join(missing, "id"), "texts")
-    links = components(_confirmed(stage(open_, "open_pairs"), texts.union(more_texts)).union(links))
+    later = stage(_across(sifted.join(first, ["a", "b"], "left_anti"), _labels(classes, links)), "open_pairs")
+    links = components(_confirmed(later, texts).union(links))
+    if not rest.isEmpty():
+        links = components(stage(_crowds(docs, rest, _labels(classes, links)), "crowd_links").union(links))
     return signed, classes.select("n", "f1", "f2", "id").join(links.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("n", "f1", "f2", F.coalesce("root", "id").alias("root"))
 
 
