@@ -68,12 +68,12 @@ class Network:
 
     @staticmethod
     def _lay(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts, each padded to whole blocks with room for a filter; the offsets of their blocks."""
+        """All texts, each in whole blocks of its own that begin with padding as wide as a filter; the offsets of their blocks."""
         counts = np.array([0 if not len(t) else -(-(len(t) + WIDTH) // BLOCK) for t in texts])
         starts = np.concatenate([[0], np.cumsum(counts)])
         out = np.full(starts[-1] * BLOCK + WIDTH, PAD, np.int16)
         for t, s in zip(texts, starts, strict=False):
-            out[s * BLOCK : s * BLOCK + len(t)] = t
+            out[s * BLOCK + WIDTH : s * BLOCK + WIDTH + len(t)] = t
         return out, starts
 
     def _pool(self, best: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -92,7 +92,7 @@ class Network:
         full = np.flatnonzero(chunks)
         if len(full):
             at = (np.cumsum(chunks) - chunks)[full]
-            out[full, :FILTERS] = np.add.reduceat(pooled, at, axis=0) / chunks[full, None]
+            out[full, :FILTERS] = np.add.reduceat(pooled.astype(np.float64), at, axis=0) / chunks[full, None]
             out[full, FILTERS:] = np.maximum.reduceat(pooled, at, axis=0)
         return out
 

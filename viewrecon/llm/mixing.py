@@ -66,7 +66,7 @@ def _newton(hist: DataFrame, state: DataFrame, small: bool, cap: int) -> DataFra
     df = _with_state(sums, state, small)
     df = df.withColumn("gap", F.when(F.col("full") | (F.col("target") <= 0), F.lit(0.0)).otherwise(F.log("h") - F.log("target")))
     df = df.withColumn("lo", F.when(F.col("gap") < 0, F.col("lam")).otherwise(F.col("lo"))).withColumn("hi", F.when(F.col("gap") > 0, F.col("lam")).otherwise(F.col("hi")))
-    step = F.col("lam") - F.col("gap") * F.col("h") / F.col("dh")
+    step = F.col("lam") - F.try_divide(F.col("gap") * F.col("h"), F.col("dh"))
     inside = (F.col("dh") > 0) & (step >= F.col("lo")) & (step <= F.col("hi"))
     moved = F.when(F.abs("gap") <= CLOSE, F.col("lam")).when(inside, step).otherwise((F.col("lo") + F.col("hi")) / 2)
     return df.withColumn("lam", moved).select(*state.columns[:-1], "gap")
@@ -78,9 +78,9 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     units = stage(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n_rows")), "mix_units")
     hist = stage(units.groupBy("source", "size").agg(F.sum("n_rows").alias("n"), F.count("*").alias("units")), "mix_sizes")
     tokens = F.sum(F.col("n") * F.col("size"))
-    sources = hist.groupBy("source").agg(tokens.alias("source_size"), F.sum("units").alias("units"), (tokens / F.sum(F.when(F.col("size") > 0, F.col("n")))).alias("mean"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least_size"))
+    sources = hist.groupBy("source").agg(tokens.alias("source_size"), F.sum("units").alias("units"), F.try_divide(tokens, F.sum(F.when(F.col("size") > 0, F.col("n")))).alias("mean"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least_size"))
     state = _targets(sources, weights, cap)
-    ratio = F.col("target") / F.col("source_size")
+    ratio = F.try_divide(F.col("target"), F.col("source_size"))
     state = state.select("source", "source_size", "units", "target", F.coalesce("mean", F.lit(1.0)).alias("mean"), (F.col("target") >= F.col("most") * (1 - 1e-12)).alias("full"), F.coalesce(F.col("least_size") / F.col("mean"), F.lit(1.0)).alias("least"), ratio.alias("ratio"))
     state = state.withColumn("lam", F.lit(0.0)).withColumn("lo", F.when(F.col("ratio") < 1, F.log("ratio") / F.col("least")).otherwise(0.0)).withColumn("hi", F.when(F.col("ratio") > 1, F.lit(math.log(cap)) / F.col("least")).otherwise(0.0))
     state = stage(state.drop("least", "ratio").withColumn("gap", F.lit(1.0)), "mix_state")
