@@ -17,6 +17,7 @@ from viewrecon.functions.kinds import comparable, differs, rendered
 from viewrecon.plans.schema import Cell, TableSpec, common_cells
 from viewrecon.sources.tables import scan
 
+#: The labels of a key.
 SKIPPED, ORPHAN, MISSING, INCONSISTENT, CONSISTENT = "SKIPPED", "MISSING_IN_BASE_TABLE", "MISSING_IN_MV_TABLE", "INCONSISTENT", "CONSISTENT"
 
 
