@@ -2,12 +2,14 @@
 
 import datetime
 import decimal
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from viewrecon.functions.kinds import differs, kind_of, rendered
 from viewrecon.operators import report
+from viewrecon.operators.mutate import mutated
 from viewrecon.operators.reconcile import Reconciler
 from viewrecon.operators.repair import Repairer, after_repair, statements
 from viewrecon.operators.stats import identities_hold, job_stats, stats_line
@@ -158,6 +160,26 @@ def test_repair_and_identities(spark):
     assert {x.pk: x.state for x in Reconciler(r.base, spec, 0, 4_000_000_000).labels(b, after).collect()} == {"Driver1": "CONSISTENT", "Driver2": "CONSISTENT", "Driver3": "CONSISTENT", "Driver5": "MISSING_IN_MV_TABLE"}
 
 
+def test_refused_writes_and_throttle(spark):
+    def write(statement, row):
+        if row["pk"] == "Driver3" and row["column"] != "c2":
+            raise OSError(f"no {row['column']}")
+
+    def never(statement, row):
+        raise OSError("no")
+
+    b, v = drifted(spark)
+    r = reconciler(b, v)
+    fix = Repairer(r, ALL)
+    joined = r.joined(b, v)
+    began = time.monotonic()
+    errors = mutated(fix.upsert_plan(joined).coalesce(1), r, write, "ks", 10).collect()
+    assert time.monotonic() - began > 0.25 and len(errors) == 2
+    assert sorted(e.error for e in errors)[0] == "Error upserting data: no c3\nquery: INSERT INTO ks.view (c1,ck1,ck2,pk,c3) VALUES (?,?,?,?,?) USING TIMESTAMP ? AND TTL ?"
+    present = fix.delete_plan(joined, v)
+    assert mutated(present, r, never).count() == 0 and mutated(fix.delete_plan(joined, b), r, never).count() == 1
+
+
 def test_latest_timestamp_and_key_only_view(spark):
     b, v = tables(spark, view=ROWS[:1])
     r = reconciler(b, v)

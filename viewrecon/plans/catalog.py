@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from viewrecon.functions.kinds import differs, rendered
 from viewrecon.operators import report
+from viewrecon.operators.mutate import mutated
 from viewrecon.operators.reconcile import first_rows, out_of_scope, write_time_bounds
 from viewrecon.operators.repair import Repairer, after_repair, statements
 from viewrecon.operators.stats import job_stats
@@ -313,6 +314,17 @@ def null_key_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fix.outcomes(r.joined(base, view), base).filter("state = 'MISSING_IN_MV_TABLE'").select(F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"), "o_orderkey", "outcome")
 
 
+def _refuse(statement: str, row: dict) -> None:
+    if row["o_orderkey"] % 10 == 0:
+        raise ValueError("refused")
+
+
+@_query(_JOINED + "SELECT o_custkey, o_orderkey, 'Error deleting data: refused' || chr(10) || 'query: DELETE FROM shop.orders_by_customer WHERE o_custkey=? AND o_orderkey=?' AS error FROM p WHERE action = 'DELETE' AND o_orderkey % 10 = 0")
+def mutation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fix, base, joined = _repair(spark, sf_dir)
+    return mutated(fix.delete_plan(joined, base), fix.r, _refuse, "shop", 1_000_000)
+
+
 _REPAIRED = """, x AS (
   SELECT o_custkey, o_orderkey, CASE WHEN action = 'UPSERT' THEN b_priority ELSE v_priority END AS o_orderpriority, CASE WHEN action = 'UPSERT' THEN b_status ELSE v_status END AS o_orderstatus,
          CASE WHEN action = 'UPSERT' THEN b_price ELSE v_price END AS o_totalprice, CASE WHEN action = 'UPSERT' AND (NOT in_view OR b_price IS DISTINCT FROM v_price) THEN b_wt ELSE v_wt END AS price_written
