@@ -82,8 +82,13 @@ def _children(path: Column) -> Column:
 
 
 def _branch(rows: DataFrame, classes: DataFrame | None = None) -> DataFrame:
-    """rows: (path, id), with sig where ``classes`` is None. Returns (path, id) of the children."""
-    with_sig = rows if classes is None else rows.join(classes.select("id", "sig"), "id")
+    """rows: (path, id), with sig where ``classes`` is None. Returns (path, id) of the children.
+
+    A class's signature is fetched once for all its paths, of which a level has a few dozen at most.
+    """
+    with_sig = rows
+    if classes is not None:
+        with_sig = rows.groupBy("id").agg(F.collect_list("path").alias("paths")).join(classes.select("id", "sig"), "id").select(F.explode("paths").alias("path"), "id", "sig")
     chosen = with_sig.select("path", "id", "sig", F.explode(_children(F.col("path"))).alias("j"))
     return chosen.select(F.xxhash64("path", "j", F.expr("substring(sig, 4 * j + 1, 4)")).alias("path"), "id")
 
