@@ -1,7 +1,7 @@
 """Exact top-k search among binary codes by incremental multi-index hashing.
 
-A vector's code has one bit for each of its 64 dimensions, its sign. Codes are cut into segments of about
-log2 of their number bits, and an index lists codes by segment value. Queries probe, segment by segment, all
+A vector's code has one bit for each of its 64 dimensions, its sign. Codes are cut into segments so long that a
+few codes share a value, about log2 of their number, and an index lists codes by segment value. Queries probe, segment by segment, all
 values within a radius that grows by one each round; candidates are verified by their whole distance. After
 radius r in all m segments no code nearer than m * (r + 1) is unseen, so a query is done when its kth
 verified distance is below that; only the others go on. Rows with equal codes are one code with its k
@@ -26,6 +26,8 @@ from viewrecon.llm.scratch import stage
 DIMENSIONS, K = 64, 10
 #: Bits of a segment: the masks that probe it are a table of 2 ** bits rows, which is broadcast.
 LEAST_BITS, MOST_BITS = 7, 16
+#: Codes that share a segment's value, about: a few more of them cost less than the probes of longer segments.
+LOAD = 4
 
 
 def code_of(vector: Column) -> Column:
@@ -36,7 +38,7 @@ def code_of(vector: Column) -> Column:
 
 def segments(codes: int) -> list[tuple[int, int]]:
     """(shift, bits) of the segments for so many codes."""
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(2, codes)))))
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(2, codes / LOAD)))))
     m = math.ceil(DIMENSIONS / bits)
     ends = [DIMENSIONS * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
