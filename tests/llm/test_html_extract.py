@@ -7,7 +7,7 @@ import pytest
 
 from viewrecon.llm import html_extract as h
 from viewrecon.llm.boosting import Boosted
-from viewrecon.llm.dom import Page
+from viewrecon.llm.dom import NAMES, Page
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +50,25 @@ def test_text_rules(extractor):
     assert got == "Title <1> " + " ".join(f"Para {i} with boldword, enough & more text to be kept here. Line two of it." for i in range(4))
 
 
+def test_long_page(extractor):
+    """Position and counts by tag mean the same beside several hundred siblings as beside a few."""
+    paragraphs = [f"<p>Paragraph {i} says a few things, at some length, about number {i}.</p>" for i in range(400)]
+    advert, foot = '<div class="ad"><a href="/buy">Buy this now</a></div>', "<footer>&copy; the owner of this page</footer>"
+    page = Page(f"<body>{''.join(paragraphs[:300])}{advert}{''.join(paragraphs[300:])}{advert}{foot}</body>")
+    x = page.features()
+    body = page.tag.index("body")
+    kids = page.order[body]
+    place, alike, beside, last = (x[[k - 1 for k in kids], NAMES.index(name)] for name in ("place", "alike", "beside", "last"))
+    tags = [page.tag[k] for k in kids]
+    assert len(kids) == 403 and place.tolist() == [i / 403 for i in range(403)] and last.tolist() == [0] * 402 + [1]
+    assert alike.tolist() == [tags.count(t) / 403 for t in tags]
+    for i in (0, 1, 300, 301, 401, 402):
+        near = [page.chars[s] for s in kids[max(0, i - 3) : i + 4] if s != kids[i]]
+        assert beside[i] == pytest.approx(np.log1p(np.mean(near)))
+    got = extractor.texts([f"<body>{''.join(paragraphs[:300])}{advert}{''.join(paragraphs[300:])}{advert}{foot}</body>"])[0]
+    assert got == " ".join(p[3:-4] for p in paragraphs)
+
+
 def test_decoding_has_no_contradictions():
     rng = np.random.default_rng(8)
     page = Page(h.unmarked(h.synthetic_page(rng)))

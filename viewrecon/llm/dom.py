@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -191,8 +192,12 @@ class Page:
         own, page = list(chars), max(1, seen)
         below, paragraphs, kids, depth, above, in_content = [1] * n, [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
         order: list[list[int]] = [[] for _ in range(n)]
+        places, alike = [0] * n, [Counter() for _ in range(n)]
         for k in range(1, n):
-            order[self.parent[k]].append(k)
+            p = self.parent[k]
+            places[k] = len(order[p])
+            order[p].append(k)
+            alike[p][self.tag[k]] += 1
         line = [0]
         for k in line:
             line.extend(order[k])
@@ -223,9 +228,7 @@ class Page:
                 row[at + i] = self.bits[k] >> i & 1
                 row[at + len(HINTS) + i] = above[k] >> i & 1
             at += 2 * len(HINTS)
-            siblings = order[p]
-            same = sum(self.tag[s] == self.tag[k] for s in siblings) if len(siblings) < 200 else len(siblings)
-            place = siblings.index(k) if len(siblings) < 200 else 0
+            siblings, place, same = order[p], places[k], alike[p][self.tag[k]]
             near = siblings[max(0, place - 3) : place + 4]
             beside = [chars[s] for s in near if s != k]
             c = chars[k]
