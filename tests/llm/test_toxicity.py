@@ -40,6 +40,19 @@ def test_quotation_is_not_abuse():
     assert not lexicon.features("a clean text").any() and not lexicon.features("").any()
 
 
+def test_long_quotations():
+    lexicon = t.Lexicon({"worthless": 5.0}, frozenset())
+    long = "one two three four five six seven eight"
+    for text in (f'He wrote "{long} worthless {long}." once', f"«{long}, {long}\nworthless {long}»", f"« {long} worthless {long} »", f"(“{long} ‘you worthless man’ {long}”) he said", f'"{long} don\'t be worthless, {long}"'):
+        x = lexicon.features(text)
+        assert x[3] > 0 and not x[[0, 1, 2, 4, 5]].any(), text
+    for text in (f'"{long} worthless {long}', f'worthless {long} "{long}"', f'"{long}" worthless "{long}"', f'"{long} worthless\n\n{long}"', f'"{long} worthless {long} "quoted"', f"the dogs' {long} worthless {long} 'quoted'"):
+        x = lexicon.features(text)
+        assert x[0] > 0 and x[3] == 0 and x[5] > 0, text
+    mixed = lexicon.features(f'worthless "{long} worthless {long}"')
+    assert mixed[0] > 0 and mixed[3] > 0 and mixed[5] == pytest.approx(np.log1p(100 / 18))
+
+
 def test_learns_terms_and_misspellings():
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("aeioulnrst") for _ in range(7)) for _ in range(400)]

@@ -32,14 +32,15 @@ from viewrecon.llm.samples import fold, labelled_texts
 SAMPLE, MAX_BYTES, TERMS = 3000, 1 << 15, 4000
 #: Words of clean texts, the most frequent, that are never taken for misspelt terms.
 CLEAN = 100_000
-#: Words on either side of a hit that tell quotation from abuse.
-WINDOW = 4
 #: States and words that are remembered before the memory starts afresh.
 STATES, WORDS = 100_000, 200_000
 
 _EDGES = re.compile(r"^[^\w]+|[^\w]+$")
-#: Marks that open or close a quotation.
-QUOTES = "\"'“”„‟«»‹›‘’‚`"
+#: Marks that open a quotation, each with those that close it.
+CLOSED_BY = {'"': '"', "'": "'’", "“": '”"', "”": "”", "„": '“”"', "‟": "”", "«": "»", "»": "«»", "‹": "›", "›": "‹›", "‘": "’'", "’": "’", "‚": "‘’", "`": "`'"}
+_QUOTES = re.compile(f"[{''.join(CLOSED_BY)}]")
+_PARAGRAPH = re.compile(r"\n\s*\n")
+_BEFORE, _AFTER = re.compile(r"^[^\w]+"), re.compile(r"[^\w]+$")
 _REPEATS = re.compile(r"(.)\1{2,}")
 
 
@@ -134,10 +135,56 @@ class Automaton:
         return self.hits[s]
 
 
+def quoted(text: str) -> np.ndarray | None:
+    """For each word of ``text.split()`` whether it stands in a quotation, however long; None without any.
+
+    A quotation opens with a mark before a word and ends with a mark of its kind after that word or a later one of
+    the paragraph. A mark that is never closed quotes nothing; of two straight ones that open, the later counts.
+    """
+    if not _QUOTES.search(text):
+        return None
+    ends, at = [], 0
+    for paragraph in _PARAGRAPH.split(text):
+        words, opened = paragraph.split(), []  # opened: (mark, index of its word), in order
+
+        def opens(mark: str, i: int) -> None:
+            if mark in CLOSED_BY[mark]:
+                opened[:] = [x for x in opened if x[0] != mark]
+            opened.append((mark, i))
+
+        def closes(mark: str, i: int) -> bool:
+            for k in range(len(opened) - 1, -1, -1):
+                if mark in CLOSED_BY[opened[k][0]]:
+                    ends.append((opened[k][1], i + 1))
+                    del opened[k:]
+                    return True
+            return False
+
+        for i, w in enumerate(words, at):
+            if not _QUOTES.search(w):
+                continue
+            before, after = _BEFORE.match(w), _AFTER.search(w)
+            if before and before.end() == len(w):  # a mark that stands alone
+                for mark in _QUOTES.findall(w):
+                    if not closes(mark, i):
+                        opens(mark, i)
+                continue
+            for mark in _QUOTES.findall(before[0]) if before else ():
+                opens(mark, i)
+            for mark in _QUOTES.findall(after[0]) if after else ():
+                closes(mark, i)
+        at += len(words)
+    depth = np.zeros(at + 1, int)
+    for a, b in ends:
+        depth[a] += 1
+        depth[b] -= 1
+    return np.cumsum(depth) > 0
+
+
 class Lexicon:
     """Terms with weights, clean words that are never taken for misspelt terms, and features of a text."""
 
-    #: Features: direct hits exact, by one edit, by two edits; quoted hits; the strongest hit; hits a hundred words.
+    #: Features: direct hits exact, by one edit, by two edits; quoted hits; the strongest direct hit; direct hits a hundred words.
     FEATURES = 6
 
     def __init__(self, weights: dict[str, float], clean: frozenset[str]):
@@ -164,28 +211,21 @@ class Lexicon:
         hits = {w: h for w in distinct if (h := self.look_up(w)) is not None}
         if not hits:
             return out
-        total = 0
+        total, inside = 0, quoted(text)
         for i, w in enumerate(words):
             if w not in hits:
                 continue
             weight, edits = hits[w]
-            total += 1
-            near = words[max(0, i - WINDOW) : i + WINDOW + 1]
-            if self.quoted(near, min(i, WINDOW)):
+            if inside is not None and inside[i]:
                 out[3] += weight
             else:
+                total += 1
                 out[edits] += weight
                 out[4] = max(out[4], weight / (1 + edits))
         out[:4] = np.log1p(out[:4])
         out[5] = math.log1p(100 * total / len(words))
         return out
 
-    @staticmethod
-    def quoted(near: list[str], at: int) -> bool:
-        """Whether a quotation opens at or before the word and closes at or after it, within the window."""
-        opens = any(w[0] in QUOTES for w in near[: at + 1])
-        return opens and any(w.rstrip(".,;:!?")[-1:] in QUOTES and len(w) > 1 for w in near[at:])
-
 
 def without_copies(texts: list[tuple[str, int]]) -> list[tuple[str, int]]:
     """Without texts that share half of their eight smallest word hashes with an earlier one: the words of copies don't count twice."""
