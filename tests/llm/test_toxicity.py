@@ -26,6 +26,31 @@ def test_automaton_against_brute_force():
         assert automaton.match(w) == (min(want) if want else None), w
 
 
+def with_swaps(a, b):
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        rows.append([i])
+        for j, y in enumerate(b, 1):
+            best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i].append(best)
+    return rows[-1][-1]
+
+
+def test_swapped_letters_are_one_edit():
+    rng = random.Random(5)
+    word = lambda low, high: "".join(rng.choice("abc") for _ in range(rng.randint(low, high)))
+    terms = sorted({word(2, 10) for _ in range(40)})
+    automaton = t.Automaton(terms, swaps=True)
+    for w in [word(0, 12) for _ in range(1500)] + terms:
+        want = [(d, i) for i, term in enumerate(terms) if (d := with_swaps(w, term)) <= t.edits_allowed(term)]
+        assert automaton.match(w) == (min(want) if want else None), w
+    lexicon = t.Lexicon({"idiot": 5.0, "worthless": 5.0}, frozenset())
+    assert lexicon.look_up("idoit") == lexicon.look_up("Idito!") == lexicon.look_up("diiot") == lexicon.look_up("wrothless") == (5.0, 1)
+    assert lexicon.look_up("owrthlses") == (5.0, 2) and lexicon.look_up("doiit") is None and lexicon.features("you idoit")[1] > 0
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(t, "STATES", 20)
     automaton = t.Automaton(["worthless", "idiotic"])

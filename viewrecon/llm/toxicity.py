@@ -1,9 +1,9 @@
 """Toxicity by a lexicon that survives misspelling, and the words around each hit.
 
 The lexicon is learned from labelled rows: words that toxic texts hold and clean texts, almost, do not. Its
-words form a trie; Levenshtein automata of up to two edits run over that trie together, as one automaton
-that is made deterministic as words ask for it: a state is a set of (trie node, edits), and a word that
-strays from all terms dies within a few letters. A hit is weighed by its term and its edits and, by the words
+words form a trie; Levenshtein automata of up to two edits, a swap of neighbours being one, run over that trie
+together, as one automaton that is made deterministic as words ask for it: a state is a set of (trie node,
+edits), with the letter that is due where a swap has begun, and a word that strays from all terms dies within a few letters. A hit is weighed by its term and its edits and, by the words
 around it, as abuse or as quotation: quoted hits and direct hits are separate features of a logistic score.
 
 Training takes at most ``SAMPLE`` texts of each class, none above ``MAX_BYTES``, from the training folds only;
@@ -54,10 +54,13 @@ def edits_allowed(term: str) -> int:
 
 
 class Automaton:
-    """Levenshtein automata of all terms, intersected with the terms' trie and made deterministic on demand."""
+    """Levenshtein automata of all terms, intersected with the terms' trie and made deterministic on demand.
 
-    def __init__(self, terms: Iterable[str]):
-        self.terms = sorted(set(terms))
+    swaps: whether two neighbouring letters that changed places count as one edit (each letter edited once at most).
+    """
+
+    def __init__(self, terms: Iterable[str], swaps: bool = False):
+        self.terms, self.swaps = sorted(set(terms)), swaps
         self.next: list[dict[str, int]] = [{}]
         self.final: list[int] = [-1]
         self.most: list[int] = [-1]  # of the terms below a node, the most edits that any allows
@@ -76,8 +79,9 @@ class Automaton:
         self._start_afresh()
 
     def _start_afresh(self) -> None:
-        self.index: dict[frozenset, int] = {}
+        self.index: dict[tuple[frozenset, frozenset], int] = {}
         self.sets: list[frozenset] = []
+        self.due: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.hits: list[tuple[int, int] | None] = []
         self.dead = self._state({})
@@ -97,18 +101,22 @@ class Automaton:
                     todo.append((m, e + 1))
         return nodes
 
-    def _state(self, nodes: dict[int, int]) -> int:
-        key = frozenset(nodes.items())
+    def _state(self, nodes: dict[int, int], due: dict[tuple[int, str], int] | None = None) -> int:
+        """due: the edits at which a node is reached if the next letter is the one that completes a swap."""
+        swaps = frozenset((due or {}).items())
+        key = (frozenset(nodes.items()), swaps)
         if key not in self.index:
             self.index[key] = len(self.sets)
-            self.sets.append(key)
+            self.sets.append(key[0])
+            self.due.append(swaps)
             self.moves.append({})
-            ends = [(e, self.final[n]) for n, e in key if self.final[n] >= 0 and e <= edits_allowed(self.terms[self.final[n]])]
+            ends = [(e, self.final[n]) for n, e in key[0] if self.final[n] >= 0 and e <= edits_allowed(self.terms[self.final[n]])]
             self.hits.append(min(ends) if ends else None)
         return self.index[key]
 
     def _move(self, state: int, c: str) -> int:
         after: dict[int, int] = {}
+        due: dict[tuple[int, str], int] = {}
 
         def reach(n: int, e: int) -> None:
             if e < after.get(n, 9):
@@ -118,7 +126,12 @@ class Automaton:
             reach(n, e + 1)  # a letter too many
             for d, m in self.next[n].items():
                 reach(m, e + (d != c))
-        return self._state(self._close(after))
+                if self.swaps and d != c and (k := self.next[m].get(c)) is not None and e + 1 <= self.most[k] and e + 1 < due.get((k, d), 9):
+                    due[k, d] = e + 1
+        for (k, d), e in self.due[state]:
+            if d == c:
+                reach(k, e)
+        return self._state(self._close(after), due)
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, index of the term) of the nearest term within its edits, the first of equals."""
@@ -189,7 +202,7 @@ class Lexicon:
 
     def __init__(self, weights: dict[str, float], clean: frozenset[str]):
         self.weights, self.clean = weights, clean
-        self.automaton = Automaton(weights)
+        self.automaton = Automaton(weights, swaps=True)
         self.known: dict[str, tuple[float, int] | None] = {}
 
     def look_up(self, word: str) -> tuple[float, int] | None:
