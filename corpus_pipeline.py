@@ -2,7 +2,8 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which
 is written as Parquet and read again as the next one's ``docs``. A stage works on all that its predecessor
-kept. All but the last return the columns of ``documents``; the last returns ids and offsets in place of text.
+kept. All but the last return the columns of ``documents``; the last returns ids and offsets in place of text, and the digest
+of what the ids decode to, which must be the text.
 
 A stage's result is lazy and reads tables that the stage wrote to the shared folder; these go when the next
 stage begins, so write a result before calling the next stage, as ``run`` does.
@@ -34,7 +35,7 @@ def _stage(work: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, Da
 
 
 def _encode(docs: DataFrame) -> DataFrame:
-    encoded = bpe.encode(docs, public_tokenizers.path(bpe.VOCABULARY))
+    encoded = bpe.encode_checked(docs, public_tokenizers.path(bpe.VOCABULARY))
     return encoded.withColumn("n_tokens", F.size("ids").cast("long")).drop("text")
 
 

@@ -1,8 +1,12 @@
+import hashlib
 import random
 
 import corpus_pipeline
+import public_tokenizers
+import pytest
 from helpers import ODD, linked, shingles
 
+from viewrecon.llm import bpe
 from viewrecon.llm.queries import ORACLES, QUERIES
 
 
@@ -38,6 +42,19 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
     assert len(seen[4]) == len(seen[3])
 
 
+def test_last_stage_decodes(spark, tmp_path):
+    docs = spark.createDataFrame(ODD, "doc_id long, text string")
+    name, work = corpus_pipeline.STAGES[-1]
+    got = sorted(((r.doc_id or 0, r.decoded_sha256) for r in work(spark, docs, str(tmp_path)).collect()))
+    assert name == "encoding" and got == sorted((i or 0, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ODD)
+    codec = bpe.codec(public_tokenizers.path(bpe.VOCABULARY))
+    texts = ["Größe 漢字 it's".encode(), b"cut \xf0\x9f off \xff"]
+    for text, (ids, _) in zip(texts, codec.encode(texts), strict=True):
+        assert codec.decode_checked(text, ids) == text.decode("utf-8", "replace").encode()
+        with pytest.raises(ValueError, match="decode to other"):
+            codec.decode_checked(text, ids[:-1])
+
+
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -238,6 +238,13 @@ class Codec:
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def decode_checked(self, text: bytes, ids: Iterable[int]) -> bytes:
+        """The decoded ids; raises unless they give the text back, with U+FFFD for what isn't UTF-8."""
+        found = self.decode(ids)
+        if found != text and found != text.decode("utf-8", "replace").encode():
+            raise ValueError(f"ids of a text of {len(text)} bytes decode to other {len(found)} bytes")
+        return found
+
 
 @lru_cache(4)
 def codec(path: str) -> Codec:
@@ -281,6 +288,27 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
+def encode_checked(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """As ``encode``, with ``decoded_sha256`` of the bytes that the ids decode to; fails where these aren't the text's."""
+    rest = [c for c in docs.columns if c not in ("ids", "offsets", "decoded_sha256")]
+    src = docs.select(*rest, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(_local(vocabulary))
+        for batch in batches:
+            at = 0
+            for block in _blocks(batch.column(len(rest))):
+                ids, offsets = zip(*c.encode(block), strict=True)
+                of_text = [hashlib.sha256(c.decode_checked(t, i)).hexdigest() for t, i in zip(block, ids, strict=True)]
+                part = batch.slice(at, len(block))
+                at += len(block)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int32())), pa.array(of_text, pa.string())], [*rest, "ids", "offsets", "decoded_sha256"])
+
+    numbers = T.ArrayType(T.IntegerType())
+    schema = T.StructType([*src.schema.fields[:-1], T.StructField("ids", numbers), T.StructField("offsets", numbers), T.StructField("decoded_sha256", T.StringType())])
+    return src.mapInArrow(run, schema)
+
+
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` with ``decoded`` (binary), from ``ids`` alone; null ids decode to nothing."""
     rest = [c for c in encoded.columns if c != "decoded"]
