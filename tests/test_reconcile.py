@@ -218,6 +218,12 @@ def test_report_and_job(spark, tmp_path):
         read_table(spark, "nowhere")
 
 
+def test_console_sink_prints_every_block(spark, capsys):
+    want = [f"Problem: {i}\n{'x' * 200}\n{report.RULE}" for i in range(50)]
+    report.console_sink(spark.createDataFrame([("a", b) for b in want], "category string, block string"), "")
+    assert capsys.readouterr().out == "".join(f"{b}\n" for b in want)
+
+
 def test_settings():
     s = Settings.from_mapping({"viewrecon.start_seconds": "5", "spark.viewrecon.start_seconds": "6", "spark.viewrecon.fix_missing": "TRUE", "viewrecon.output_dir": ""})
     assert s == Settings(start_seconds=5, fix_missing=True)

@@ -25,7 +25,9 @@ def text_sink(rows: DataFrame, path: str) -> None:
 
 
 def console_sink(rows: DataFrame, path: str) -> None:
-    rows.show(truncate=False)
+    """Prints every block, as it is."""
+    for row in rows.toLocalIterator():
+        print(row.block)
 
 
 def row_text(side: str, spec: TableSpec) -> Column:
