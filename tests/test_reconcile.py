@@ -218,6 +218,32 @@ def test_report_and_job(spark, tmp_path):
         read_table(spark, "nowhere")
 
 
+def test_job_applies_the_repair(spark, tmp_path):
+    def connect(options):
+        folder = options["to"]
+
+        def write(statement, row):
+            if row["pk"] == "Driver4" or row["pk"] == "Driver3" and row["column"] != "c2":
+                raise OSError(f"no {row.get('column')}")
+            with open(f"{folder}/written", "a") as f:
+                f.write(f"{time.monotonic()} {statement}\n")
+
+        return write
+
+    b, v = drifted(spark)
+    b.coalesce(1).write.parquet(f"{tmp_path}/b")
+    v.coalesce(1).write.parquet(f"{tmp_path}/v")
+    given = {"start_seconds": "0", "end_seconds": "4000000000", "base_table": f"{tmp_path}/b", "view_table": f"{tmp_path}/v", "namespace": "ks", "fix_missing": "true", "fix_orphans": "true", "fix_inconsistent": "true", "mutations_per_second": "5", "write_options": f"to={tmp_path}", "output_dir": f"{tmp_path}/out"}
+    s = Settings.from_mapping({f"viewrecon.{k}": x for k, x in given.items()})
+    run = Run(s, KEYS, {"keys": ("pk", "ck1", "ck2"), "write_time": "wt", "ttl": "ttl"}, {"write_time": "wt", "ttl": "ttl"})
+    line, repaired = run(spark, connect=connect)
+    written = [x.split(" ", 1)[1] for x in (tmp_path / "written").read_text().splitlines()]
+    assert sorted(x.split("pk,")[1][:2] for x in written) == ["c2", "c4"] and all(x.startswith("INSERT INTO ks.v (") for x in written)
+    assert "upsertErrRecords: 2" in line and "delErrRecords: 1" in line and "totRecords: 5" in line and repaired.count() == 3
+    text = {t.category: t.value for t in spark.read.text(f"{tmp_path}/out/findings", wholetext=True).collect() if t.category.startswith("ERR_")}
+    assert set(text) == {"ERR_DELETING", "ERR_UPSERTING"} and "Error deleting data: no None" in text["ERR_DELETING"]
+
+
 def test_console_sink_prints_every_block(spark, capsys):
     want = [f"Problem: {i}\n{'x' * 200}\n{report.RULE}" for i in range(50)]
     report.console_sink(spark.createDataFrame([("a", b) for b in want], "category string, block string"), "")

@@ -119,7 +119,11 @@ class Reconciler:
 
     def findings(self, base: DataFrame, view: DataFrame) -> DataFrame:
         """Joined rows that need attention, with ``mismatches``, the first of which is ``mismatch``."""
-        rows = self.joined(base, view).filter(F.col("state").isin(ORPHAN, MISSING, INCONSISTENT))
+        return self.found(self.joined(base, view))
+
+    def found(self, joined: DataFrame) -> DataFrame:
+        """``findings`` of rows that are joined already."""
+        rows = joined.filter(F.col("state").isin(ORPHAN, MISSING, INCONSISTENT))
         return rows.withColumn("mismatches", self.mismatches()).withColumn("mismatch", F.get("mismatches", F.lit(0)))
 
     def key_text(self) -> Column:

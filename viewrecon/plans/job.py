@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewrecon.operators import report
+from viewrecon.operators.mutate import Writer, mutated
 from viewrecon.operators.reconcile import Reconciler
 from viewrecon.operators.repair import Repairer
 from viewrecon.plans.schema import TableSpec
@@ -15,6 +17,10 @@ from viewrecon.plans.settings import Settings
 from viewrecon.sources.tables import read_table, throttled
 
 
+#: Makes a writer, which tasks receive a copy of, from ``write_options``.
+Connect = Callable[[dict[str, str]], Writer]
+
+
 @dataclass(frozen=True)
 class Run:
     """base_args, view_args: arguments of ``TableSpec.of`` beside the frame and the name."""
@@ -30,17 +36,37 @@ class Run:
 
     def repairer(self, base: DataFrame, view: DataFrame) -> Repairer:
         s = self.settings
-        specs = TableSpec.of(base, name="base", **self.base_args), TableSpec.of(view, self.view_keys, name="view", **self.view_args)
+        names = ((t or "").rsplit("/", 1)[-1] for t in (s.base_table, s.view_table))  # as statements have them
+        specs = TableSpec.of(base, name=next(names) or "base", **self.base_args), TableSpec.of(view, self.view_keys, name=next(names) or "view", **self.view_args)
         return Repairer(Reconciler(*specs, s.start_seconds, s.end_seconds, unique=False), s)
 
-    def __call__(self, spark: SparkSession, sink: report.Sink = report.text_sink) -> tuple[str, DataFrame]:
-        """Writes the report and the statistics under ``output_dir``. Returns the statistics line and the repaired view, not yet written."""
+    def _apply(self, fix: Repairer, joined: DataFrame, deletes: DataFrame, connect: Connect) -> DataFrame:
+        """(key, error): hands the plans to the writer, once, at the rate of the settings; one row for each key that it refused."""
+        s, r = self.settings, fix.r
+        write = connect(Settings.options(s.write_options))
+        plans = fix.upsert_plan(joined), deletes
+        refused = [mutated(p, r, write, s.namespace or "", s.mutations_per_second).localCheckpoint() for p in plans]
+        rows = refused[0].unionByName(refused[1])
+        return rows.groupBy(*r.keys).agg(F.array_join(F.sort_array(F.collect_list("error")), "\n").alias("error"))
+
+    def __call__(self, spark: SparkSession, sink: report.Sink = report.text_sink, connect: Connect | None = None) -> tuple[str, DataFrame]:
+        """Writes the report and the statistics under ``output_dir``. Returns the statistics line and the repaired view, not yet written.
+
+        With ``connect`` the repair is applied too, and what the writer refused is in the report and the statistics.
+        What was read is then held before the first write, so that no step sees a view that is half repaired.
+        """
         s = self.settings
         base, view = (throttled(self._read(spark, t), s.scan_rows_per_second) for t in (s.base_table, s.view_table))
         fix = self.repairer(base, view)
         joined = fix.r.joined(base, view)
         fresh = self._read(spark, s.base_table)
-        outcomes = fix.outcomes(joined, fresh)
-        sink(report.routed(report.blocks(fix.r.findings(base, view), fix.r), outcomes, fix.r), f"{s.output_dir}/findings")
+        failed = None
+        if connect:
+            joined = joined.localCheckpoint()
+            deletes = fix.delete_plan(joined, fresh).localCheckpoint()
+            fresh = deletes.filter("present").select(*fix.r.keys)
+            failed = self._apply(fix, joined, deletes, connect)
+        outcomes = fix.outcomes(joined, fresh, failed)
+        sink(report.routed(report.blocks(fix.r.found(joined), fix.r), outcomes, fix.r), f"{s.output_dir}/findings")
         line = report.write_stats(outcomes, s.output_dir)
         return line, fix.repaired(joined, fresh)
