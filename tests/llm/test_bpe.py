@@ -36,6 +36,15 @@ def test_corners(reference, text):
     assert encode(text)[0] == reference.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("left,right", [("a", "a"), ("1", "1"), ("!", "!"), (" ", " ")])
+def test_every_code_point(reference, left, right):
+    """Each code point between two others, in texts of 512 of them: the ids equal the library's."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["\n".join(left + c + right for c in points[i : i + 512]) for i in range(0, len(points), 512)]
+    for text, (ids, _) in zip(texts, bpe.codec(PATH).encode([t.encode() for t in texts]), strict=True):
+        assert ids == reference.encode_ordinary(text)
+
+
 def test_texts_of_a_block_do_not_mix(reference):
     texts = ["a", "", "'", "s", " ", " b", "\U0010ffff", "c"]
     got = [ids for ids, _ in bpe.codec(PATH).encode([t.encode() for t in texts])]

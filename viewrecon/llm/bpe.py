@@ -12,7 +12,7 @@ as slices of the text's bytes, are merged by rank with a bounded cache; their of
 
 Defined results: a null text encodes to no ids and decodes to the empty text; special tokens' strings are
 ordinary text; bytes that aren't UTF-8 count as U+FFFD; rows repeat and other columns pass as they are;
-columns named as results are replaced; an empty table gives an empty result.
+columns named as results, whatever their case, are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from viewrecon.llm.names import spare, without
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 # Classes of code points. The letters that contractions use have classes of their own.
@@ -39,6 +41,13 @@ LETTER, ONE, R, V, L, E, NUMBER, OTHER, QUOTE, BLANK, WHITE, RESET = range(12)
 _ONE = "stmd"
 _WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _LETTERS = (LETTER, ONE, R, V, L, E)
+#: Fixed values of Unicode 16.0, the version that the tiktoken library splits by: letters and numbers that 15.1 lacks, first and last of each run.
+_NEW_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+_NEW_NUMBERS = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
 
 # States: what the piece that is open consists of.
 START, WORD, DIGITS, MARKS, BLANK1, WHITE1, BLANK2, WHITE2, QUOTED, QR, QV, QL, DONE = range(13)
@@ -110,6 +119,9 @@ def _classes() -> np.ndarray:
             out[c] = LETTER
         elif kind == "N":
             out[c] = NUMBER
+    for kind, runs in ((LETTER, _NEW_LETTERS), (NUMBER, _NEW_NUMBERS)):
+        for first, last in runs:
+            out[first : last + 1] = kind
     out[_WHITE] = WHITE
     for text, kind in ((_ONE, ONE), ("r", R), ("v", V), ("l", L), ("e", E), ("'", QUOTE), (" ", BLANK)):
         out[[ord(x) for x in text]] = kind
@@ -269,10 +281,11 @@ def _local(path: str) -> str:
     return SparkFiles.get(path[6:]) if path.startswith("files:") else path
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array of int) and ``offsets``: byte offsets of the pieces and, last, the length."""
-    rest = [c for c in docs.columns if c not in ("ids", "offsets")]
-    src = docs.select(*rest, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+def _encoded(docs: DataFrame, vocabulary: str, text: str, checked: bool) -> DataFrame:
+    results = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.IntegerType())), *([T.StructField("decoded_sha256", T.StringType())] if checked else [])]
+    rest = without(docs.columns, [f.name for f in results])
+    src = docs.select(*(F.col(f"`{c}`") for c in rest), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(spare(rest, "whole")))
+    names = [*rest, *(f.name for f in results)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(_local(vocabulary))
@@ -280,39 +293,30 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
             at = 0
             for block in _blocks(batch.column(len(rest))):
                 ids, offsets = zip(*c.encode(block), strict=True)
+                made = [pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int32()))]
+                if checked:
+                    made.append(pa.array([hashlib.sha256(c.decode_checked(t, i)).hexdigest() for t, i in zip(block, ids, strict=True)], pa.string()))
                 part = batch.slice(at, len(block))
                 at += len(block)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int32()))], [*rest, "ids", "offsets"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names)
 
-    schema = T.StructType([*src.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("offsets", T.ArrayType(T.IntegerType()))])
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], *results]))
 
 
-def encode_checked(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """As ``encode``, with ``decoded_sha256`` of the bytes that the ids decode to; fails where these aren't the text's."""
-    rest = [c for c in docs.columns if c not in ("ids", "offsets", "decoded_sha256")]
-    src = docs.select(*rest, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` (array of int) and ``offsets``: byte offsets of the pieces and, last, the length."""
+    return _encoded(docs, vocabulary, text, False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(_local(vocabulary))
-        for batch in batches:
-            at = 0
-            for block in _blocks(batch.column(len(rest))):
-                ids, offsets = zip(*c.encode(block), strict=True)
-                of_text = [hashlib.sha256(c.decode_checked(t, i)).hexdigest() for t, i in zip(block, ids, strict=True)]
-                part = batch.slice(at, len(block))
-                at += len(block)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int32())), pa.array(of_text, pa.string())], [*rest, "ids", "offsets", "decoded_sha256"])
 
-    numbers = T.ArrayType(T.IntegerType())
-    schema = T.StructType([*src.schema.fields[:-1], T.StructField("ids", numbers), T.StructField("offsets", numbers), T.StructField("decoded_sha256", T.StringType())])
-    return src.mapInArrow(run, schema)
+def encode_checked(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+    """As ``encode``, with ``decoded_sha256`` of the bytes that the ids decode to; fails where these aren't the text's."""
+    return _encoded(docs, vocabulary, text, True)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` with ``decoded`` (binary), from ``ids`` alone; null ids decode to nothing."""
-    rest = [c for c in encoded.columns if c != "decoded"]
-    src = encoded.select(*rest)
+    rest = without(encoded.columns, ["decoded"])
+    src = encoded.select(*(F.col(f"`{c}`") for c in rest))
     where = rest.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
