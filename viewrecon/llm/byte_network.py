@@ -9,7 +9,9 @@ Training takes at most ``SAMPLE`` labelled texts of each class, none above ``MAX
 folds only, in a fixed order from fixed seeds.
 
 Defined results: a null or empty text has no chunks and gets the score of zero features; repeated rows
-score alike; without labelled rows of both classes the score is the share of class 1 (0.5 without any).
+score alike; without labelled rows of both classes the score is the share of class 1 (0.5 without any); a
+text of any length is scored whole, chunk by chunk; columns other than ``doc_id`` and ``text`` are neither
+read nor returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations

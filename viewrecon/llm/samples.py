@@ -14,8 +14,9 @@ def fold(modulus: int) -> Column:
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, training: Column, most: int, max_bytes: int) -> list[tuple[str, int]]:
     """Up to ``most`` texts of each class, the first in a random but fixed order of ids, none above ``max_bytes``.
 
-    ``training`` says by ``doc_id`` which rows may be learned from. The ids drawn are at most ``2 * most``, so
-    their broadcast and what reaches the driver are bounded whatever the corpus.
+    ``training`` says by ``doc_id`` which rows may be learned from. The ids drawn are at most ``2 * most``, and of
+    rows that repeat an id one text counts, the first in order, so their broadcast and what reaches the driver
+    are bounded whatever the corpus.
     """
     drawn = None
     for value in (0, 1):
@@ -23,5 +24,5 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, training: Col
         part = of.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
     rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= max_bytes).join(F.broadcast(drawn), "doc_id")
-    found = {(r["doc_id"], r["text"]): r["label"] for r in rows.collect()}
-    return [(text, label) for (_, text), label in sorted(found.items())]
+    once = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    return [(r["text"], r["label"]) for r in sorted(once.collect(), key=lambda r: r["doc_id"])]

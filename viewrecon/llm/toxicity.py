@@ -3,14 +3,17 @@
 The lexicon is learned from labelled rows: words that toxic texts hold and clean texts, almost, do not. Its
 words form a trie; Levenshtein automata of up to two edits, a swap of neighbours being one, run over that trie
 together, as one automaton that is made deterministic as words ask for it: a state is a set of (trie node,
-edits), with the letter that is due where a swap has begun, and a word that strays from all terms dies within a few letters. A hit is weighed by its term and its edits and, by the words
-around it, as abuse or as quotation: quoted hits and direct hits are separate features of a logistic score.
+edits), with the letter that is due where a swap has begun, and a word that strays from all terms dies within a
+few letters. A hit is weighed by its term and its edits and, by the words around it, as abuse or as quotation:
+quoted hits and direct hits are separate features of a logistic score.
 
 Training takes at most ``SAMPLE`` texts of each class, none above ``MAX_BYTES``, from the training folds only;
 terms found in one half of them are tried on the other half, so that the weights are those of unseen texts.
 
 Defined results: a null or empty text has no hits and gets the score of none; repeated rows score alike;
-without labelled rows of both classes there is no lexicon and the score is the share of class 1 (0 without any).
+without labelled rows of both classes there is no lexicon and the score is the share of class 1 (0 without any);
+a text of any length is scored whole, in memory that grows with its length alone; columns other than ``doc_id``
+and ``text`` are neither read nor returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,10 +31,8 @@ from pyspark.sql import functions as F
 
 from viewrecon.llm.samples import fold, labelled_texts
 
-#: Texts of each class in the training sample, the bytes of the longest, and the most terms of a lexicon.
-SAMPLE, MAX_BYTES, TERMS = 3000, 1 << 15, 4000
-#: Words of clean texts, the most frequent, that are never taken for misspelt terms.
-CLEAN = 100_000
+#: Texts of each class in the training sample, and the bytes of the longest; these alone bound the lexicon.
+SAMPLE, MAX_BYTES = 3000, 1 << 15
 #: States and words that are remembered before the memory starts afresh.
 STATES, WORDS = 100_000, 200_000
 
@@ -256,7 +257,7 @@ def without_copies(texts: list[tuple[str, int]]) -> list[tuple[str, int]]:
 
 
 def find_terms(texts: list[tuple[str, int]]) -> tuple[dict[str, float], frozenset[str]]:
-    """Terms with the log odds of toxic texts to clean ones, and the words of clean texts."""
+    """Terms with the log odds of toxic texts to clean ones, and the words of clean texts, which are never taken for misspelt terms."""
     counts = (Counter(), Counter())
     sizes = [0, 0]
     for text, label in texts:
@@ -275,11 +276,9 @@ def find_terms(texts: list[tuple[str, int]]) -> tuple[dict[str, float], frozense
         surprise = n * math.log(n / (n + c) / share) + (c * math.log(c / (n + c) / (1 - share)) if c else 0.0)
         odds = math.log((n + 0.1) / (sizes[1] + 0.2)) - math.log((c + 0.1) / (sizes[0] + 0.2))
         if surprise > sure and odds > 2.5:
-            scored.append((surprise, word, odds))
-    scored.sort(reverse=True)
-    weights = {word: odds for _, word, odds in scored[:TERMS]}
-    common = sorted((-n, w) for w, n in clean.items() if w not in weights)[:CLEAN]
-    return weights, frozenset(w for _, w in common)
+            scored.append((word, odds))
+    weights = {word: odds for word, odds in sorted(scored)}
+    return weights, frozenset(w for w in clean if w not in weights)
 
 
 class Scorer:
