@@ -1,8 +1,11 @@
 import hashlib
+import time
 
 from helpers import SPACE, lower, odd_docs
+from pyspark.sql import functions as F
 
 from viewrecon.llm import line_dedup as d
+from viewrecon.llm.hot import join_counted
 
 LONG = "A line that is long enough to be a key, surely."
 
@@ -59,6 +62,24 @@ def test_drop_lines_keeps_rows_and_columns(spark):
     assert d.drop_lines(docs.limit(0)).count() == 0
 
 
+def test_very_many_lines(spark):
+    """The text is split once, however many runs of lines stay."""
+    text = "\n".join(f"{LONG} {i // 2}" if i % 2 else f"own {i}" for i in range(40_000))
+    docs = spark.createDataFrame([(i, text) for i in range(5)], "doc_id long, text string")
+    began = time.monotonic()
+    out = {r.doc_id: r.text for r in d.drop_lines(docs).collect()}
+    assert time.monotonic() - began < 20
+    assert out[4] == text and all(out[i] == "\n".join(f"own {k}" for k in range(0, 40_000, 2)) for i in range(4))
+
+
+def test_hot_keys_and_others_meet_alike(spark):
+    rows = spark.createDataFrame([(k if k else None, i) for k in range(12) for i in range(k * k + 1)], "k long, i long")
+    keyed = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("m"))
+    plain = sorted(map(str, join_counted(rows, keyed, ["k"], "n").collect()))
+    assert len(plain) == rows.count() and sorted(map(str, join_counted(rows, keyed, ["k"], "n", parts=4).select("k", "i", "n", "m").collect())) == sorted(map(str, join_counted(rows, keyed, ["k"], "n").select("k", "i", "n", "m").collect()))
+    assert join_counted(rows.limit(0), keyed.limit(0), ["k"], "n").count() == 0
+
+
 def test_native(spark, sf_dir):
     plan = d.op5_line_dedup(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -3,13 +3,15 @@
 Keys of lines are hashed to 128 bits. Occurrences are first counted by hash and a salt taken from the
 document, so that a line held by a third of all documents is many small groups; those partial counts are
 range-partitioned by hash, sorted by hash and document, and streamed once: the first row of a hash names
-the document that keeps the line. Removals go back to the documents as row numbers, and every document gets
+the document that keeps the line. Lines that very many documents hold, a bounded number, are broadcast to
+their occurrences, the rest meet theirs by a shuffle. Removals go back to the documents as row numbers, and every document gets
 a run-length keep bitmap; texts take part only where a caller applies the bitmaps.
 
 Defined results: a null or empty text is one empty line; lines shorter than ``min_chars`` always stay;
 repeated lines within the keeping document all stay; rows that repeat a ``doc_id`` count as one document
 (they are taken to hold the same text) and lose the same lines; a null ``doc_id`` is a document of its own
-that never is the keeper unless no other holds the line; an empty table gives an empty result.
+that never is the keeper unless no other holds the line; an empty table gives an empty result. Columns
+beside ``doc_id`` and ``text`` pass through, whatever their names; ``n_chars`` is brought up to date.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from viewrecon.llm.hot import join_counted
 from viewrecon.llm.scratch import stage
 from viewrecon.llm.words import LOWER, SPACE_CHARS, UPPER, lower_ascii
 
@@ -39,7 +42,7 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def shared_lines(occ: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h1, h2, keeper) of the hashes that at least ``min_docs`` documents hold."""
+    """(h1, h2, keeper, docs) of the hashes that at least ``min_docs`` documents hold."""
     salted = occ.select("h1", "h2", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"))
     dealt = salted.repartition("h1", "h2", "salt")
     once = dealt.groupBy("h1", "h2", "salt", "doc_id").agg(F.lit(1).alias("one"))
@@ -48,14 +51,14 @@ def shared_lines(occ: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     run = Window.partitionBy("h1", "h2").orderBy(F.desc("top"))
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = stream.select("h1", "h2", F.col("top").alias("keeper"), F.row_number().over(run).alias("nth"), F.sum("docs").over(whole).alias("docs"))
-    return first.filter((F.col("nth") == 1) & (F.col("docs") >= min_docs)).select("h1", "h2", "keeper")
+    return first.filter((F.col("nth") == 1) & (F.col("docs") >= min_docs)).select("h1", "h2", "keeper", "docs")
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, keep_runs) once for each ``doc_id``; ``keep_runs`` lists (start, length) of kept lines."""
     occ = stage(occurrences(docs, min_chars), "line_occurrences")
     shared = stage(shared_lines(occ, min_docs), "line_keepers")
-    lost = occ.join(shared, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    lost = join_counted(occ, shared, ["h1", "h2"], "docs").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     gaps = lost.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("gaps"))
     counts = docs.select("doc_id", F.size(lines_of(F.col("text"))).alias("n_lines")).groupBy("doc_id").agg(F.max("n_lines").alias("n_lines"))
     both = counts.alias("c").join(gaps.alias("g"), F.col("c.doc_id").eqNullSafe(F.col("g.doc_id")), "left").select("c.doc_id", "n_lines", F.coalesce("gaps", F.expr("cast(array() as array<int>)")).alias("gaps"))
@@ -66,8 +69,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 
 def kept_text(text: Column, n_dropped: Column, keep_runs: Column) -> Column:
-    lines = lines_of(text)
-    kept = F.array_join(F.flatten(F.transform(keep_runs, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    # The text is split once, as the only element of an array; the runs are cut from that element.
+    cut = lambda lines: F.array_join(F.flatten(F.transform(keep_runs, lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    kept = F.get(F.transform(F.array(lines_of(text)), cut), F.lit(0))
     return F.when(n_dropped > 0, kept).otherwise(F.coalesce(text, F.lit("")))
 
 
