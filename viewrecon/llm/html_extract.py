@@ -22,9 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewrecon.llm.boosting import Boosted
 from viewrecon.llm.dom import Page
+from viewrecon.llm.names import spare, without
 
 LEAVE, TAKE, MIXED = range(3)
 PAGES, SEED = 1000, 3
@@ -341,9 +343,9 @@ def trained() -> Boosted:
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` without ``html`` and with ``text``."""
-    rest = [c for c in pages.columns if c not in (html, "text")]
-    src = pages.select(*rest, F.coalesce(F.col(html), F.lit("")).alias("__html"))
+    """``pages`` without ``html`` and with ``text``, which replaces a column of its name; all others pass through."""
+    rest = without(pages.columns, (html, "text"))
+    src = pages.select(*(F.col(f"`{c}`") for c in rest), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias(spare(rest, "whole")))
     trees = trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,8 +356,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
                 found = extractor.texts([h.as_py() for h in part.column(len(rest))])
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.string())], [*rest, "text"])
 
-    schema = src.select(*rest, F.lit("").alias("text")).schema
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("text", T.StringType())]))
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

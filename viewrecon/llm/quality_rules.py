@@ -6,8 +6,8 @@ expectation-maximisation over those counts estimates how often each rule is righ
 documents. A document's posterior probability of being good is then a closed expression of its votes.
 
 Defined results: null or empty text has no words and fails the base rules; repeated rows are judged one by
-one and alike; an empty table gives an empty result; other columns pass through untouched, except that a
-column named as one of the results is replaced.
+one and alike; an empty table gives an empty result; other columns pass through untouched, whatever their
+names, except that ``judge`` puts its results in place of columns named like them, whatever their case.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewrecon.llm.names import numbered, restored, without
 from viewrecon.llm.scratch import stage
 from viewrecon.llm.words import words
 
@@ -34,6 +35,7 @@ RULES = (
 )
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_letters", "n_bangs")
+RESULTS = (*BASE, *EXTRA, "base_failed", "posterior", "kept")
 
 
 def _vote(name: str) -> str:
@@ -41,7 +43,14 @@ def _vote(name: str) -> str:
 
 
 def count_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the counts in BASE and EXTRA (all long). Work is done inside the row: no shuffle."""
+    """Adds the counts in BASE and EXTRA (all long), which replace columns of their names. Work is done inside the row: no shuffle."""
+    named, names = numbered(docs)
+    counted = _counted(named, names[text])
+    return counted.select(*(F.col(names[c]).alias(c) for c in without(docs.columns, [*BASE, *EXTRA])), *BASE, *EXTRA)
+
+
+def _counted(docs: DataFrame, text: str) -> DataFrame:
+    """docs: columns as ``numbered`` names them."""
     t = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumn("_w", words(t)).withColumn("_l", F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     df = df.withColumn("_n", F.size("_w")).withColumn("_joined", F.array_join("_w", ""))
@@ -130,21 +139,26 @@ def judge(docs: DataFrame, text: str = "text", carry: tuple[str, ...] | None = N
 
     One pass counts and votes and is written once; the pattern counts and the result both read that table.
     """
-    results = {*BASE, *EXTRA, "base_failed", "posterior", "kept"}
-    carry = tuple(c for c in (docs.columns if carry is None else carry) if c not in results)
-    src = docs.select(*carry, F.col(text).alias("_text")) if text not in carry else docs.select(*carry)
-    counted = count_features(src, text if text in carry else "_text")
-    table = stage(counted.select(*carry, *BASE, *EXTRA, *votes()), "quality_rules")
-    names = [_vote(r[0]) for r in RULES]
-    counts = table.filter(~base_failed()).groupBy(*names).count().collect()  # 3 ** len(RULES) rows at most
-    model = fit((tuple(r[n] for n in names), r["count"]) for r in counts)
+    carried = without(docs.columns if carry is None else carry, RESULTS)
+    judged, names = _judged(docs, text, carried)
+    return judged.select(*(F.col(names[c]).alias(c) for c in carried), *RESULTS)
+
+
+def _judged(docs: DataFrame, text: str, carry: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The columns ``carry`` as ``numbered`` names them, and RESULTS; the names."""
+    named, names = numbered(docs)
+    table = stage(_counted(named, names[text]).select(*(names[c] for c in carry), *BASE, *EXTRA, *votes()), "quality_rules")
+    voted = [_vote(r[0]) for r in RULES]
+    counts = table.filter(~base_failed()).groupBy(*voted).count().collect()  # 3 ** len(RULES) rows at most
+    model = fit((tuple(r[n] for n in voted), r["count"]) for r in counts)
     judged = table.withColumn("base_failed", base_failed()).withColumn("posterior", posterior(model))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)).drop(*names)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)).drop(*voted), names
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with its columns."""
-    return judge(docs, text).filter("kept").select(*docs.columns)
+    """The rows of ``docs`` that the rules keep, with all its columns, whatever their names."""
+    judged, names = _judged(docs, text, docs.columns)
+    return restored(judged.filter("kept"), names)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
