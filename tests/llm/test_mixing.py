@@ -1,9 +1,12 @@
+import math
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from helpers import ODD, WORD, odd_docs
 
 from viewrecon.llm import mixing as m
+from viewrecon.llm.hot import join_counted
 
 
 def targets(sizes, weights=(1, 2, 3), cap=3):
@@ -62,6 +65,53 @@ def test_caps_null_source_and_equal_rows(spark, tmp_path):
     assert len({r.taken for r in got if r.source == "same"}) == 1
 
 
+@pytest.mark.parametrize("parts", [4096, 2])
+def test_reruns_agree_however_rows_are_dealt(spark, sf_dir, monkeypatch, parts):
+    """Every column in every bit; with few sources broadcast and with most of them met by a shuffle."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    monkeypatch.setattr(m, "PARTS", parts)
+    monkeypatch.setattr(m, "join_counted", lambda *a: join_counted(*a, parts=parts))
+    seen = []
+    for partitions, adaptive in ((4, "true"), (13, "false")):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        seen.append(sorted(map(repr, m.plan_mix(docs.repartition(partitions)).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert seen[0] == seen[1] and len(seen[0]) == docs.count()
+
+
+def test_rates_solve_the_dual(spark, sf_dir):
+    """Each rate is min(cap, exp(lambda * size / mean)) with one lambda a source, found here by bisection, that meets the target."""
+    rows = m.plan_mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        size = np.array([r["size"] for r in own], float)
+        n = np.array([r.n_rows for r in own], float)
+        mean = (size * n).sum() / n[size > 0].sum()
+        rate = lambda lam: np.minimum(3.0, np.exp(np.minimum(lam * size / mean, math.log(3))))
+        low, high = -1e4, 1e4
+        for _ in range(200):
+            lam = (low + high) / 2
+            low, high = (lam, high) if (rate(lam) * size * n).sum() < own[0].target else (low, lam)
+        got = np.array([r.rate for r in own])
+        assert (got * size * n).sum() == pytest.approx(own[0].target, rel=1e-6)
+        if own[0].target < 3 * own[0].source_size:
+            assert got[size > 0] == pytest.approx(rate(lam)[size > 0], rel=1e-5, abs=1e-9)
+
+
+def test_counted_off_in_chunks(spark):
+    plan = spark.createDataFrame([(1, 1), (2, 10), (3, 11), (4, 21)], "doc_id long, n_rows long")
+    assert {r.doc_id: r["count"] for r in m.planned_rows(plan, 10).groupBy("doc_id").count().collect()} == {1: 1, 2: 10, 3: 11, 4: 21}
+
+
+def test_no_settling_is_an_error(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(m, "ROUNDS", 4)
+    monkeypatch.setattr(m, "CLOSE", -1.0)
+    with pytest.raises(RuntimeError, match="off by"):
+        m.plan_mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def test_water_filling_by_hand(spark):
     df = spark.createDataFrame([("a", 100), ("b", 1), (None, 50)], "source string, source_size long")
     got = {r.source: r.target for r in m._targets(df, (1, 2, 3), 3).collect()}
