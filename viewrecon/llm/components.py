@@ -1,7 +1,7 @@
 """Connected components of a distributed edge list, by alternating large and small stars.
 
 No vertex's neighbours are ever gathered: a step needs each vertex's smallest neighbour, an aggregate with
-map-side combining, and a join back to the edges, which Spark splits where a vertex has very many. A graph
+map-side combining, and a join back to the edges, to which the few vertices that have very many are broadcast. A graph
 of up to ONE_TASK edges, counted first, is solved whole by one task instead: the steps' shuffles would cost
 more than its few megabytes.
 """
@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewrecon.llm.hot import join_counted
 from viewrecon.llm.scratch import stage
 
 ONE_TASK = 1_000_000
@@ -49,11 +50,11 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """edges: (u, v), any order and repeats. Returns (u, v) with ``v`` the smallest vertex of u's component, for every other vertex u."""
     big, small = F.greatest("u", "v"), F.least("u", "v")
     e = stage(edges.filter("u <> v").select(big.alias("u"), small.alias("v")), "edges")
-    if e.count() <= ONE_TASK:
+    if e.count() <= one_task:
         return stage(e.coalesce(1).mapInArrow(_solve, e.schema), "edges")
     return by_stars(e)
 
@@ -64,10 +65,11 @@ def by_stars(e: DataFrame) -> DataFrame:
     seen = _mark(e)
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        rest = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "least")
+        large = join_counted(both, least, ["u"], "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stage(large.distinct(), "edges")
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+        rest = join_counted(large, least, ["u"], "n").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = stage(rest.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         now = _mark(e)
         if now == seen:

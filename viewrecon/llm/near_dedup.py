@@ -2,23 +2,31 @@
 
 Documents are sets of five-word shingles; two are linked where 100 * intersection >= 75 * union. Documents
 with equal sets form one class, and only classes are joined. Independent trees branch: at a node, about
-1 / 0.75 of 64 minwise coordinates are chosen by a hash of the node's path, and a class goes to the child named
-by its value there, so that a linked pair stays together in about one child on average. Nodes of up to LEAF
-classes are compared exhaustively; a larger node compares all with one pivot and branches on. Signatures
-sift the pairs, whole texts confirm them: first at most one pair for each class, which settles dense
-groups in linear work, then all sifted pairs whose ends are still in different components. Nodes that are still
-large at the last level join into crowds; a crowd's classes outside its largest component meet all of its
-classes in blocks, where intersections are counted for all pairs at once and only links come out.
+1 / 0.75 minwise coordinates are chosen, other ones in each tree and on each level, and a class goes to the
+child named by its value there, so that a linked pair stays together in about one child on average. Nodes of up
+to LEAF classes are compared exhaustively; a larger node compares its classes with a pivot. Signatures sift the
+pairs, whole texts confirm them: first at most one pair for each class, which settles dense groups in linear
+work, then all sifted pairs whose ends are still in different components. A large node whose classes are then
+one component is closed; where up to LEAF classes are outside its largest component, those are compared with
+all. A node that is mostly one component would hardly shrink: up to FEW classes outside it meet all classes of
+the node exactly, in blocks where intersections are counted for all pairs at once and only links come out; nodes
+of a level that have the component's pivot in common, one for each chosen coordinate at most, are one such
+group. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
+level. From level DEEP on, where few are left, a node of one block is compared as such, and should one be
+large after LEVELS levels still, it is compared in blocks, too.
+
+Rows that have a key in common meet in one task only in bounded numbers: keys of many rows are broadcast to
+them, and a node of more than NODE classes is dealt into parts with a pivot each.
 
 Defined results: null, empty or word-free text is linked with nothing; rows that share a ``doc_id`` are taken
 to hold the same text; rows with a null ``doc_id`` take no part and stay; an empty table gives an empty
-result; other columns pass through.
+result; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +34,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewrecon.llm.components import components
+from viewrecon.llm.hot import join_counted
 from viewrecon.llm.scratch import stage
 from viewrecon.llm.shingles import _mix, shingle_sets
 
 PERCENT = 75
-#: Minwise coordinates; trees; levels; classes of a node that are compared exhaustively.
-COORDINATES, TREES, LEVELS, LEAF = 64, 16, 4, 12
+#: Minwise coordinates; trees; levels before what is left is compared in blocks; classes of a node that are compared exhaustively.
+COORDINATES, TREES, LEVELS, LEAF = 64, 16, 40, 12
+#: Levels, the first being 0, after which nodes of one block don't branch on.
+DEEP = 2
+#: Coordinates that the trees choose from on one of the levels below the first.
+CHOICE = 7
+#: Classes of a node's part, at most about; classes outside its largest component that a node compares in blocks, at most.
+NODE, FEW = 4096, 1024
 #: Equal coordinates that a pair needs to be confirmed: at 75 % similarity fewer have a chance of about 1e-6.
 SIFT = 31
 #: Equal coordinates from which any partner is as good as another for the first confirmation.
 SURE = 56
 #: Texts that are compared with one copy of their partner.
 SLICE = 128
-#: Classes of a crowd on either side of a block.
+#: Classes of a node on either side of a block.
 BLOCK = 256
 #: Ids of documents up to which they are broadcast to find their texts; beyond it both sides are shuffled.
 BROADCAST_IDS = 500_000
@@ -75,51 +90,95 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_sign, f"doc_id {kind}, n long, f1 long, f2 long, sig binary, low binary")
 
 
-def _children(path: Column) -> Column:
-    """The coordinates chosen at a node: one, or two at a third of the nodes."""
-    pick = lambda k: F.pmod(F.xxhash64(path, F.lit(k)), F.lit(COORDINATES)).cast("int")
+def _children(path: Column, level: int) -> Column:
+    """The coordinates chosen at a node: one, or two at a third of the nodes.
+
+    On the first level ``path`` is the tree's number, and all coordinates chosen are different ones. Each of the next
+    levels draws by the path from a few that the levels just above it don't use.
+    """
+    if level == 0:
+        own = path.cast("int") - 1
+        return F.when(path % 3 == 0, F.array(own, (F.lit(TREES) + path / 3 - 1).cast("int"))).otherwise(F.array(own))
+    first = TREES + TREES // 3
+    begin = first + CHOICE * ((level - 1) % ((COORDINATES - first) // CHOICE))
+    pick = lambda k: (F.pmod(F.xxhash64(path, F.lit(k)), F.lit(CHOICE)) + begin).cast("int")
     return F.when(F.pmod(F.xxhash64(path, F.lit(2)), F.lit(3)) == 0, F.array_distinct(F.array(pick(0), pick(1)))).otherwise(F.array(pick(0)))
 
 
-def _branch(rows: DataFrame, classes: DataFrame | None = None) -> DataFrame:
-    """rows: (path, id), with sig where ``classes`` is None. Returns (path, id) of the children.
+def _branch(rows: DataFrame, level: int) -> DataFrame:
+    """rows: (path, id, root, sig). Returns (path, id, root) of the children."""
+    chosen = rows.select("path", "id", "root", "sig", F.explode(_children(F.col("path"), level)).alias("j"))
+    return chosen.select(F.xxhash64("path", "j", F.expr("substring(sig, 4 * j + 1, 4)")).alias("path"), "id", "root")
+
+
+def _signed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with sig, fetched once for all paths of a class, of which a level has a few dozen at most."""
+    paths = rows.groupBy("id").agg(F.first("root").alias("root"), F.collect_list("path").alias("paths"))
+    return paths.join(classes.select("id", "sig"), "id").select(F.explode("paths").alias("path"), "id", "root", "sig")
 
-    A class's signature is fetched once for all its paths, of which a level has a few dozen at most.
-    """
-    with_sig = rows
-    if classes is not None:
-        with_sig = rows.groupBy("id").agg(F.collect_list("path").alias("paths")).join(classes.select("id", "sig"), "id").select(F.explode("paths").alias("path"), "id", "sig")
-    chosen = with_sig.select("path", "id", "sig", F.explode(_children(F.col("path"))).alias("j"))
-    return chosen.select(F.xxhash64("path", "j", F.expr("substring(sig, 4 * j + 1, 4)")).alias("path"), "id")
-
-
-def _pairs_and_rest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of one level's comparisons, a before b in a random order, and the (path, id) of nodes above LEAF."""
-    order = F.struct(F.xxhash64("id").alias("o"), F.col("id").alias("id"))
-    nodes = rows.groupBy("path").agg(F.count("*").alias("size"), F.min(order)["id"].alias("pivot")).filter("size > 1")
-    held = stage(rows.join(nodes, "path"), "paths")
-    leaf = held.filter(F.col("size") <= LEAF).groupBy("path").agg(F.sort_array(F.collect_list(order)).alias("m"))
-    left = leaf.select("m", F.posexplode("m").alias("i", "x"))
-    leaf_pairs = left.select(F.col("x.id").alias("a"), F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y")).select("a", F.col("y.id").alias("b"))
-    large = held.filter(F.col("size") > LEAF)
-    star = large.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
-    return leaf_pairs.union(star), large.select("path", "id")
 
+def _pairs_and_rest(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of one level's comparisons, and the (path, id) of nodes above LEAF. rows: (path, id, root); a pair's roots differ.
 
-def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    a comes before b in a random order of the level.
+    """
+    me = F.struct(F.xxhash64(F.lit(level), "id").alias("o"), F.col("id").alias("id"), F.col("root").alias("root"))
+    nodes = stage(rows.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1"), "nodes")
+    held = stage(join_counted(rows, nodes, ["path"], "size").select("path", "id", "root", "size"), "paths")
+    leaf = held.filter(F.col("size") <= LEAF).groupBy("path").agg(F.sort_array(F.collect_list(me)).alias("m"))
+    left = leaf.select("m", F.posexplode("m").alias("i", "x"))
+    pairs = left.select("x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
+    parts = F.when(F.col("size") > NODE, F.pow(F.lit(2), F.ceil(F.log2(F.col("size") / NODE)))).otherwise(1).cast("long")
+    large = held.filter(F.col("size") > LEAF).withColumn("part", F.pmod(F.xxhash64(F.lit(-1), "id"), parts))
+    pivots = stage(large.groupBy("path", "part").agg(F.count("*").alias("n"), F.min(me).alias("x")), "pivots")
+    star = join_counted(large, pivots, ["path", "part"], "n").select("x", me.alias("y"))
+    tops = pivots.groupBy("path").agg(F.min("x").alias("top"), F.count("*").alias("n")).filter("n > 1")
+    star = star.union(pivots.join(tops.select("path", "top"), "path").select(F.col("top").alias("x"), F.col("x").alias("y")))
+    found = pairs.union(star).filter("x.id <> y.id AND x.root <> y.root").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return found, large.select("path", "id")
+
+
+def _open(large: DataFrame, links: DataFrame) -> DataFrame:
+    """large: (path, id) of large nodes. Those that aren't one component yet, as (path, id, root, most, n_out): the root of the node's largest component and how many are outside."""
+    known = stage(_rooted(large, links), "known")
+    of_root = known.groupBy("path", "root").agg(F.count("*").alias("n"))
+    nodes = of_root.groupBy("path").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
+    nodes = stage(nodes.select("path", "size", F.col("most.root").alias("most"), (F.col("size") - F.col("most.n")).alias("n_out")), "open_nodes")
+    return stage(join_counted(known, nodes, ["path"], "size"), "open")
+
+
+def _few(open_: DataFrame) -> DataFrame:
+    """(a, b) across roots of the nodes with up to LEAF classes outside their largest component: those and all others."""
+    few = open_.filter(F.col("n_out") <= LEAF)
+    outside = few.filter("root <> most").groupBy("path").agg(F.collect_list(F.struct("id", "root")).alias("outside"), F.first("size").alias("n"))
+    met = join_counted(few, stage(outside, "outside"), ["path"], "n").select("id", "root", F.explode("outside").alias("x"))
+    return met.filter("root <> x.root").select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
+
+
+def _dense(open_: DataFrame) -> DataFrame:
+    """The groups of nodes of which one component is half at least, like ``open_``, with the pivot's id in place of the path."""
+    some = open_.filter((F.col("n_out") > LEAF) & (F.col("n_out") <= FEW) & (2 * F.col("n_out") <= F.col("size")))
+    pivots = some.filter("root = most").groupBy("path").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("pivot"), F.first("size").alias("n"))
+    met = join_counted(some.select("path", "id", "root", "most"), stage(pivots, "pivots"), ["path"], "n")
+    groups = stage(met.select("pivot", "id", "root", "most").distinct(), "groups")
+    sizes = groups.groupBy("pivot").agg(F.count("*").alias("size"), F.count_if(F.col("root") != F.col("most")).alias("n_out"))
+    return join_counted(groups, stage(sizes, "groups"), ["pivot"], "size").withColumnRenamed("pivot", "path")
+
+
+def _sift(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, COORDINATES) for k in (2, 3))
         same = (a == b).sum(axis=1)
-        keep = pa.array(same >= SIFT)
+        keep = pa.array(same >= least)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(same.astype(np.int32)).filter(keep)], ["a", "b", "same"])
 
 
-def _sifted(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _sifted(pairs: DataFrame, classes: DataFrame, sift: int) -> DataFrame:
     """(a, b, same) of the pairs that may be similar enough, by set sizes and signatures."""
     side = lambda k: classes.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("low").alias(f"low{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
     kind = classes.schema["id"].dataType.simpleString()
-    return both.select("a", "b", "lowa", "lowb").mapInArrow(_sift, f"a {kind}, b {kind}, same int")
+    return both.select("a", "b", "lowa", "lowb").mapInArrow(lambda batches: _sift(batches, sift), f"a {kind}, b {kind}, same int")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,15 +218,27 @@ def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")
 
 
-def _labels(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, root) of every class."""
-    return classes.select("id").join(links.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+def _rooted(rows: DataFrame, links: DataFrame, name: str = "id", root: str = "root") -> DataFrame:
+    """``rows`` with the root of the component that the class ``name`` is in."""
+    return rows.join(links.select(F.col("u").alias(name), F.col("v").alias(root)), name, "left").withColumn(root, F.coalesce(root, name))
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def _across(pairs: DataFrame, links: DataFrame) -> DataFrame:
     """The (a, b) whose ends are in different components."""
-    side = lambda k: labels.select(F.col("id").alias(k), F.col("root").alias(f"root_{k}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter("root_a <> root_b").select("a", "b")
+    return _rooted(_rooted(pairs, links, "a", "root_a"), links, "b", "root_b").filter("root_a <> root_b").select("a", "b")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, links: DataFrame, sift: int) -> DataFrame:
+    """``links`` and those among ``pairs`` that are similar enough: (u, v) with v the first class of u's component."""
+    sifted = stage(_sifted(pairs.distinct(), classes, sift), "pairs")
+    if sifted.isEmpty():
+        return links
+    texts = stage(_texts_of(docs, sifted), "texts")
+    best = F.min(F.struct((-F.least("same", F.lit(SURE))).alias("k"), F.xxhash64("a").alias("o"), F.col("a").alias("a")))
+    first = stage(sifted.groupBy("b").agg(best["a"].alias("a")).select("a", "b"), "first_pairs")
+    links = components(_confirmed(first, texts).union(links))
+    later = stage(_across(sifted.select("a", "b").join(first, ["a", "b"], "left_anti"), links), "open_pairs")
+    return links if later.isEmpty() else components(_confirmed(later, texts).union(links))
 
 
 def _crossed(held: list[tuple[int, object, object, np.ndarray]]) -> Iterator[tuple[object, object]]:
@@ -230,63 +301,77 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
 
 
-def _crowds(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links (u, v) across components among the classes of large nodes, rows (path, id).
-
-    Large nodes that share classes form a crowd. Its classes outside its largest component meet all of its
-    classes, in blocks that each are one group of rows: texts move, pairs don't.
-    """
-    nodes = rows.groupBy("path").agg(F.min("id").alias("first"))
-    crowd = components(rows.join(nodes, "path").select(F.col("id").alias("u"), F.col("first").alias("v")))
-    ids = rows.select("id").distinct().join(crowd.select(F.col("u").alias("id"), F.col("v").alias("crowd")), "id", "left")
-    known = stage(ids.select("id", F.coalesce("crowd", "id").alias("crowd")).join(labels, "id"), "crowds")
-    roots = known.groupBy("crowd", "root").agg(F.count("*").alias("n"))
-    sizes = roots.groupBy("crowd").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")).filter("roots > 1")
-    sizes = sizes.select("crowd", F.col("most.root").alias("most"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("out_blocks"))
-    open_ = stage(known.join(sizes, "crowd"), "crowds")
-    place = lambda seed, blocks: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(blocks)).cast("int")
-    out = open_.filter("root <> most").select("crowd", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root")
-    all_ = open_.select("crowd", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root")
+def _in_blocks(docs: DataFrame, open_: DataFrame) -> DataFrame:
+    """Links (u, v) across components inside each node of ``open_``, exactly: the classes outside its largest component meet
+    all of its classes, in blocks that each are one group of rows. Texts move, pairs don't."""
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    sized = open_.withColumn("blocks", blocks("size")).withColumn("out_blocks", blocks("n_out"))
+    place = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
+    out = sized.filter("root <> most").select("path", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root")
+    all_ = sized.select("path", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root")
     texts = stage(_texts_of(docs, open_.select(F.col("id").alias("a"), F.col("id").alias("b"))), "texts")
-    rows = out.union(all_).join(texts, "id").select("crowd", "ob", "mb", "role", "id", "root", "text")
-    kind = labels.schema["id"].dataType.simpleString()
-    return rows.repartition("crowd", "ob", "mb").sortWithinPartitions("crowd", "ob", "mb", "role", "id").mapInArrow(_cross, f"u {kind}, v {kind}")
+    rows = out.union(all_).join(texts, "id").select("path", "ob", "mb", "role", "id", "root", "text")
+    kind = open_.schema["id"].dataType.simpleString()
+    return rows.repartition("path", "ob", "mb").sortWithinPartitions("path", "ob", "mb", "role", "id").mapInArrow(_cross, f"u {kind}, v {kind}")
 
 
-def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The staged signatures of ``docs`` with their class ``id``, and (u, v): a class that isn't the first of its component, and the first."""
-    spark = docs.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")  # whole texts: bounds a worker's memory
+def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """The staged signatures of ``docs``, and (n, f1, f2, docs, root) of every class: how many rows it has and the first class of its component."""
     signed = stage(signatures(docs), "signatures")
     usable = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = stage(usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("low").alias("low")), "classes")
-    rows = _branch(classes.select(F.explode(F.sequence(F.lit(1).cast("long"), F.lit(TREES).cast("long"))).alias("path"), "id", "sig"))
-    found, rest = [], rows
-    for level in range(LEVELS):
-        pairs, rest = _pairs_and_rest(rest if level == 0 else _branch(rest, classes))
-        found.append(pairs)
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    sifted = stage(_sifted(pairs.distinct(), classes), "pairs")
-    texts = stage(_texts_of(docs, sifted), "texts")
-    best = F.min(F.struct((-F.least("same", F.lit(SURE))).alias("k"), F.xxhash64("a").alias("o"), F.col("a").alias("a")))
-    first = stage(sifted.groupBy("b").agg(best["a"].alias("a")).select("a", "b"), "first_pairs")
-    links = components(_confirmed(first, texts))
-    later = stage(_across(sifted.join(first, ["a", "b"], "left_anti"), _labels(classes, links)), "open_pairs")
-    links = components(_confirmed(later, texts).union(links))
-    if not rest.isEmpty():
-        links = components(stage(_crowds(docs, rest, _labels(classes, links)), "crowd_links").union(links))
-    return signed, classes.select("n", "f1", "f2", "id").join(links.select(F.col("u").alias("id"), F.col("v").alias("root")), "id", "left").select("n", "f1", "f2", F.coalesce("root", "id").alias("root"))
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
-    signed, roots = link_classes(docs)
-    joined = signed.select("doc_id", "n", "f1", "f2").join(stage(roots, "roots"), ["n", "f1", "f2"], "left")
-    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = stage(usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs"), F.first("sig").alias("sig"), F.first("low").alias("low")), "classes")
+    kind = classes.schema["id"].dataType.simpleString()
+    links = docs.sparkSession.createDataFrame([], f"u {kind}, v {kind}")
+    trees = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(TREES).cast("long")))
+    rows, more = _branch(classes.select(trees.alias("path"), "id", F.col("id").alias("root"), "sig"), 0), None
+    for level in range(levels):
+        pairs, large = _pairs_and_rest(rows, level)
+        links = _linked(pairs if more is None else pairs.union(more), docs, classes, links, sift)
+        open_ = _open(large, links)
+        if open_.isEmpty():
+            break
+        more, dense = _few(open_), _dense(open_)
+        rest = open_.filter((F.col("n_out") > FEW) | (F.col("n_out") > LEAF) & (2 * F.col("n_out") > F.col("size")))
+        last, groups = level == levels - 1, [dense]
+        if level >= DEEP or last:
+            small = F.lit(True) if last else F.col("size") <= BLOCK
+            groups.append(rest.filter(small))
+            rest = rest.filter(~small)
+        for group in groups:
+            if not group.isEmpty():
+                links = components(stage(_in_blocks(docs, group), "block_links").union(links))
+        if rest.isEmpty():
+            links = _linked(more, docs, classes, links, sift)
+            break
+        rows = _branch(_signed(rest.select("path", "id", "root"), classes), level + 1)
+    return signed, _rooted(classes.select("n", "f1", "f2", "docs", "id"), links).select("n", "f1", "f2", "docs", "root")
+
+
+@contextmanager
+def _short_batches(spark: SparkSession, most: int = 1000) -> Iterator[None]:
+    """Batches of whole texts that bound a worker's memory; the session's setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def near_duplicates(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+
+    sift: equal coordinates that a candidate pair needs to be confirmed; with 0 every candidate is.
+    """
+    with _short_batches(docs.sparkSession):
+        signed, roots = link_classes(docs, sift, levels)
+        roots = stage(roots, "roots")
+    usable = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    signed = signed.select("doc_id", "n", "f1", "f2")
+    joined = join_counted(signed.filter(usable), roots, ["n", "f1", "f2"], "docs").select("doc_id", "n", "root")
+    rows = joined.unionByName(signed.filter(~usable).select("doc_id", "n", F.col("doc_id").alias("root")))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("root").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -300,7 +385,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     return single.unionByName(rest.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
 
 
-def recall_at_leaf(similarity: float, coordinates: int = math.ceil(TREES * 4 / 3)) -> float:
+def recall_at_leaf(similarity: float, coordinates: int = TREES + TREES // 3) -> float:
     """Chance that a pair of the given similarity shares at least one first-level node."""
     return 1 - (1 - similarity) ** coordinates
 
