@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from viewrecon.llm import hamming as h
 
 
@@ -48,4 +50,21 @@ def test_fewer_rows_than_k_and_none(spark, tmp_path):
 def test_segments_cover_the_code():
     for n in (0, 1, 500, 60_000, 10**9):
         parts = h.segments(n)
-        assert sum(b for _, b in parts) == 64 and [a for a, _ in parts] == [sum(b for _, b in parts[:i]) for i in range(len(parts))] and max(b for _, b in parts) <= 16
+        assert sum(b for _, b in parts) == 64 and [a for a, _ in parts] == [sum(b for _, b in parts[:i]) for i in range(len(parts))]
+    assert [max(b for _, b in h.segments(4 << k)) for k in (20, 24, 30, 31, 32, 40)] == [16, 22, 22, 22, 32, 32]
+
+
+def test_flips_are_all_and_once(spark):
+    for bits, value in ((7, 93), (11, 0)):
+        own = spark.createDataFrame([(5, 0, bits, value)], "q long, j int, bits int, value long")
+        for radius in range(bits + 2):
+            got = [r.value for r in h.flipped(own, radius).collect()]
+            assert sorted(got) == [v for v in range(1 << bits) if (v ^ value).bit_count() == radius]
+
+
+def test_no_nested_loop_and_other_columns(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("vec_id AS id", "1 AS q", "2 AS j", "3 AS distance", "embedding").withColumn("code", h.code_of(F.col("embedding")))
+    plain = sorted(map(tuple, h.search(rows, rows.filter("id % 50 = 0")).collect()))
+    assert plain == sorted(map(tuple, h.op9_topk_search(spark, sf_dir).collect()))
+    own = rows.selectExpr("id AS q", "0 AS j", "64 AS bits", "code AS value")
+    assert "NestedLoop" not in h.flipped(own, 3)._jdf.queryExecution().toString()

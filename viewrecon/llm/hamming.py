@@ -9,8 +9,8 @@ smallest ids, so a vector that a third of all rows share is one entry.
 
 Defined results: neighbours are ordered by distance, then id; a query row is its own neighbour where it is
 among the rows; rows with a null, short or long vector, or a null id, have no code and are left out; a null or
-NaN component counts as not above zero and above zero; with fewer than k rows all are returned; an empty
-table gives an empty result.
+NaN component counts as not above zero and above zero; with fewer than k rows all are returned; columns
+beside id and code are neither read nor returned, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql.window import Window
 from viewrecon.llm.scratch import stage
 
 DIMENSIONS, K = 64, 10
-#: Bits of a segment: the masks that probe it are a table of 2 ** bits rows, which is broadcast.
-LEAST_BITS, MOST_BITS = 7, 16
+#: Bits of a segment, at least.
+LEAST_BITS = 7
 #: Codes that share a segment's value, about: a few more of them cost less than the probes of longer segments.
 LOAD = 4
 
@@ -38,19 +38,30 @@ def code_of(vector: Column) -> Column:
 
 def segments(codes: int) -> list[tuple[int, int]]:
     """(shift, bits) of the segments for so many codes."""
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(2, codes / LOAD)))))
+    bits = min(DIMENSIONS, max(LEAST_BITS, math.ceil(math.log2(max(2, codes / LOAD)))))
     m = math.ceil(DIMENSIONS / bits)
     ends = [DIMENSIONS * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _cut(code: str, parts: list[tuple[int, int]]) -> Column:
-    return F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.lit(1 << bits).cast("long").alias("values"), F.shiftrightunsigned(F.col(code), shift).bitwiseAND(F.lit((1 << bits) - 1)).alias("value")) for j, (shift, bits) in enumerate(parts))))
+    return F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.lit(bits).alias("bits"), F.shiftrightunsigned(F.col(code), shift).bitwiseAND(F.lit((1 << bits) - 1 if bits < 64 else -1)).alias("value")) for j, (shift, bits) in enumerate(parts))))
+
+
+def flipped(own: DataFrame, radius: int) -> DataFrame:
+    """own: (q, j, bits, value). (q, j, value) of every value that differs in exactly ``radius`` of the bits, once each.
+
+    The bits to flip are counted down, one explode for each, inside the row: no table of masks, however long a segment.
+    """
+    rows = own.select("q", "j", "value", F.col("bits").alias("above"))
+    for _ in range(radius):
+        rows = rows.filter("above > 0").select("q", "j", "value", F.explode(F.expr("sequence(0, above - 1)")).alias("above"))
+        rows = rows.withColumn("value", F.expr("value ^ shiftleft(1L, above)"))
+    return rows.select("q", "j", "value")
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """rows, queries: (id, code). Returns (id, neighbor_id, rank, distance), at most k rows for each query."""
-    spark = rows.sparkSession
     smallest = Window.partitionBy("code").orderBy("id")
     items = rows.filter("id IS NOT NULL AND code IS NOT NULL").withColumn("nth", F.row_number().over(smallest)).filter(F.col("nth") <= k)
     items = stage(items.select("code", "id"), "codes")
@@ -60,13 +71,10 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     asked = stage(queries.filter("id IS NOT NULL AND code IS NOT NULL").select("id", "code").distinct(), "asked")
     active = asked.select(F.col("code").alias("q")).distinct()
     widest = max(bits for _, bits in parts)
-    masks = spark.range(1 << widest).select(F.col("id").alias("mask"), F.bit_count("id").alias("ones"))
     found, done = None, None
     for radius in range(widest + 1):
-        flips = F.broadcast(masks.filter(F.col("ones") == radius).select("mask"))
-        own = active.select("q", _cut("q", parts).alias("s")).select("q", "s.j", "s.values", "s.value")
-        probes = own.join(flips, F.col("mask") < F.col("values")).select("q", "j", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        seen = probes.join(index, ["j", "value"]).select("q", "code", "n", "first").distinct()
+        own = active.select("q", _cut("q", parts).alias("s")).select("q", "s.j", "s.bits", "s.value")
+        seen = flipped(own, radius).join(index, ["j", "value"]).select("q", "code", "n", "first").distinct()
         seen = seen.withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))))
         if found is not None:
             seen = seen.unionByName(found.join(active, "q", "left_semi")).distinct()
