@@ -8,10 +8,10 @@ BINS = 32
 
 
 class Boosted:
-    """Softmax over ``classes`` sums of trees of equal depth, grown on histograms of gradients."""
+    """Softmax over ``classes`` sums of trees of equal depth, each grown on histograms of gradients of a random share of the rows."""
 
-    def __init__(self, classes: int, rounds: int = 24, depth: int = 4, rate: float = 0.3, ridge: float = 1.0, least: float = 4.0):
-        self.classes, self.rounds, self.depth, self.rate, self.ridge, self.least = classes, rounds, depth, rate, ridge, least
+    def __init__(self, classes: int, rounds: int = 40, depth: int = 5, rate: float = 0.15, ridge: float = 2.0, least: float = 16.0, share: float = 0.3, seed: int = 5):
+        self.classes, self.rounds, self.depth, self.rate, self.ridge, self.least, self.share, self.seed = classes, rounds, depth, rate, ridge, least, share, seed
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
         quantiles = np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], axis=0)
@@ -25,13 +25,16 @@ class Boosted:
         self.feature = np.zeros((self.rounds, self.classes, inner), np.int32)
         self.cut = np.full((self.rounds, self.classes, inner), np.inf)
         self.value = np.zeros((self.rounds, self.classes, leaves))
-        flat = binned + np.arange(width) * BINS
+        rng = np.random.default_rng(self.seed)
         for r in range(self.rounds):
             p = np.exp(total - total.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
+            rows = np.sort(rng.permutation(n)[: max(1, round(n * self.share))])
+            some = binned[rows]
+            flat = some + np.arange(width) * BINS
             for c in range(self.classes):
-                g, h = p[:, c] - onehot[:, c], p[:, c] * (1 - p[:, c])
-                node = np.zeros(n, np.int64)
+                g, h = p[rows, c] - onehot[rows, c], p[rows, c] * (1 - p[rows, c])
+                node = np.zeros(len(rows), np.int64)
                 for level in range(self.depth):
                     nodes = 2**level
                     index = (node[:, None] * (width * BINS) + flat).ravel()
@@ -42,27 +45,31 @@ class Boosted:
                     gain = gs**2 / (hs + self.ridge) + (gt - gs) ** 2 / (ht - hs + self.ridge) - gt**2 / (ht + self.ridge)
                     gain[(hs < self.least / 4) | (ht - hs < self.least / 4)] = 0
                     best = gain.reshape(nodes, -1).argmax(axis=1)
-                    goes = np.zeros(n, bool)
+                    goes = np.zeros(len(rows), bool)
                     for k in range(nodes):
                         f, b = divmod(int(best[k]), BINS)
                         if gain[k, f, b] > 1e-9 and b < len(self.cuts[f]):
                             self.feature[r, c, nodes - 1 + k], self.cut[r, c, nodes - 1 + k] = f, self.cuts[f][b]
-                            goes |= (node == k) & (binned[:, f] > b)
+                            goes |= (node == k) & (some[:, f] > b)
                     node = 2 * node + goes
                 gl, hl = np.bincount(node, g, leaves), np.bincount(node, h, leaves)
                 self.value[r, c] = -self.rate * gl / (hl + self.ridge)
-                total[:, c] += self.value[r, c][node]
+            for c in range(self.classes):
+                total[:, c] += self.value[r, c][self._leaf(r, c, x)]
         return self
 
+    def _leaf(self, r: int, c: int, x: np.ndarray) -> np.ndarray:
+        """The leaf of tree (r, c) that each row comes to."""
+        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        for level in range(self.depth):
+            at = 2**level - 1 + node
+            node = 2 * node + (x[rows, self.feature[r, c, at]] > self.cut[r, c, at])
+        return node
+
     def log_probabilities(self, x: np.ndarray) -> np.ndarray:
         total = np.tile(self.prior, (len(x), 1))
-        rows = np.arange(len(x))
         for r in range(self.rounds):
             for c in range(self.classes):
-                node = np.zeros(len(x), np.int64)
-                for level in range(self.depth):
-                    at = 2**level - 1 + node
-                    node = 2 * node + (x[rows, self.feature[r, c, at]] > self.cut[r, c, at])
-                total[:, c] += self.value[r, c][node]
+                total[:, c] += self.value[r, c][self._leaf(r, c, x)]
         total -= total.max(axis=1, keepdims=True)
         return total - np.log(np.exp(total).sum(axis=1, keepdims=True))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+from collections.abc import Iterable, Mapping
 from functools import lru_cache
 from html import unescape
 
 import numpy as np
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A tag, a value's quotes respected, or not; nothing is tried twice, so a failure costs one pass.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>""", re.S)
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+_OPENS = re.compile(r"<(?=/?[a-zA-Z]|[!?])")
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|hidden|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _TOKEN = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。]")
@@ -22,93 +24,83 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 #: What an opening tag ends if it is open within the same container.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 _SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
+#: Cells, out of which only the closing tags of what holds tables reach; opening tags that end all cells and rows that are open.
+_CELLS, _OUTER, _ROWS = ("td", "th", "table"), frozenset("table tr tbody body html div article main section".split()), frozenset("tr tbody tfoot thead".split())
 
 TAGS = ("p", "heading", "list", "item", "link", "nav", "header", "footer", "aside", "article", "main", "section", "div", "form", "table", "cell", "figure", "quote", "text", "body", "other")
 _TAG_GROUP = {t: g for g, names in {"p": "p", "heading": "h1 h2 h3 h4 h5 h6 hgroup", "list": "ul ol dl menu", "item": "li dt dd", "link": "a", "nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "article": "article", "main": "main", "section": "section", "div": "div center", "form": "form fieldset button input label legend", "table": "table tbody thead tfoot tr", "cell": "td th", "figure": "figure figcaption caption", "quote": "blockquote pre", "text": "#text", "body": "body html"}.items() for t in names.split()}
-#: Groups of words in class, id and role that authors use for parts of a page.
-HINTS = {
-    "content": "content article post entry story body text main single prose page blog news maincontent",
-    "nav": "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc topbar tabs skip",
-    "header": "header masthead head logo hero branding top",
-    "footer": "footer foot copyright legal colophon bottom imprint",
-    "sidebar": "sidebar aside rail widget widgets secondary side column complementary",
-    "comment": "comment comments reply replies respond response responses discussion disqus thread reviews review feedback guestbook",
-    "ad": "ad ads advert advertisement advertising adsense adslot adbox sponsor sponsored promo promotion banner dfp doubleclick taboola outbrain affiliate",
-    "notice": "cookie cookies consent gdpr notice newsletter subscribe subscription signup popup modal overlay alert paywall disclaimer notification announcement toast",
-    "share": "share sharing social follow facebook twitter like likes",
-    "related": "related recommended recommendations popular trending more also similar teaser teasers links",
-    "form": "form login search contact register input",
-    "meta": "meta byline author date tags tag category categories info posted timestamp",
-}
-_HINT_OF = {w: 1 << i for i, words in enumerate(HINTS.values()) for w in words.split()}
-_STEMS = tuple((w, b) for w, b in _HINT_OF.items() if len(w) >= 6)
-_BY_TAG = {"nav": "nav", "header": "header", "footer": "footer", "aside": "sidebar", "form": "form", "article": "content", "main": "content"}
-_BIT = {name: 1 << i for i, name in enumerate(HINTS)}
+_INDEX = {t: TAGS.index(g) for t, g in _TAG_GROUP.items()}
+_OTHER = TAGS.index("other")
+_CONTROLS = frozenset("button label fieldset input option".split())
 
 
 @lru_cache(50_000)
-def hints(attributes: str) -> int:
-    """The groups of HINTS that the words of some attributes belong to, as bits."""
-    bits = 0
+def names(attributes: str) -> tuple[str, ...]:
+    """The words, lower-cased, of an element's class, id, role, itemprop and label."""
+    found = []
     for m in _ATTRIBUTE.finditer(attributes):
-        if m[1].lower() in ("hidden", "style"):
-            continue
-        for word in _TOKEN.findall(m[2] or m[3] or m[4] or ""):
-            word = word.lower()
-            if word in _HINT_OF:
-                bits |= _HINT_OF[word]
-            else:
-                for stem, bit in _STEMS:
-                    if word.startswith(stem):
-                        bits |= bit
-    return bits
+        if m[1].lower() not in ("hidden", "style"):
+            found += (w.lower() for w in _TOKEN.findall(m[2] or m[3] or m[4] or ""))
+    return tuple(dict.fromkeys(found))
 
 
 class Page:
-    """Nodes in page order: elements that hold lines or carry names, and runs of text beside other nodes.
+    """Nodes in page order: elements that hold lines, and runs of text beside other nodes.
 
-    ``pieces``: (node, text) in page order, and (-1, "") where a line ends.
+    ``pieces``: (node, text, whether in a link) in page order, and (-1, "", False) where a line ends; ``names``: the
+    words of each node's attributes.
     """
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.bits = ["#root"], [-1], [0]
+        self.tag, self.parent, self.names = ["#root"], [-1], [()]
         self.pieces: list[tuple[int, str, bool]] = []
         stack: list[tuple[str, int]] = [("#root", 0)]
-        links, at, n, fold = 0, 0, len(html), None
+        places: dict[str, list[int]] = {}  # where in the stack a name is, lowest first
+        links, at, n, fold, tag = 0, 0, len(html), None, _TAG
 
         def text(raw: str) -> None:
             if raw:
                 self.pieces.append((stack[-1][1], unescape(raw) if "&" in raw else raw, links > 0))
 
+        def top(names: Iterable[str]) -> int:
+            """The highest place in the stack that one of the names has, 0 if none."""
+            return max((places[x][-1] for x in names if places.get(x)), default=0)
+
         def pop_to(k: int) -> None:
             nonlocal links
             for name, _ in stack[k:]:
                 links -= name == "a"
+                places[name].pop()
                 if name not in INLINE:
                     self.pieces.append((-1, "", False))
             del stack[k:]
 
         while at < n:
-            m = _TAG.search(html, at)
-            if m is None:
-                rest = html[at:]
-                cut = rest.rfind("<")
-                text(rest if cut < 0 or not re.match(r"</?[a-zA-Z!]", rest[cut : cut + 3]) else rest[:cut])
+            o = _OPENS.search(html, at)
+            if o is None:
+                text(html[at:])
                 break
-            text(html[at : m.start()])
-            at = m.end()
-            if m[2] is None:
+            text(html[at : o.start()])
+            at = o.start()
+            if html[at + 1] in "!?":
+                comment = html.startswith("<!--", at)
+                end = html.find("-->" if comment else ">", at + 4 * comment)
+                at = n if end < 0 else end + (3 if comment else 1)
                 continue
+            m = tag.match(html, at)
+            if m is None and tag is _TAG:  # a quote is never closed: from here on quotes don't count
+                tag = _LOOSE_TAG
+                m = tag.match(html, at)
+            if m is None:  # cut off within a tag
+                break
+            at = m.end()
             name = m[2].lower()
             if m[1]:
-                if name == "p" and not any(x == "p" for x, _ in stack):
+                if name == "p" and not places.get("p"):
                     self.pieces.append((-1, "", False))
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        pop_to(k)
-                        break
-                    if stack[k][0] in ("td", "th", "table") and name not in ("table", "tr", "tbody", "body", "html", "div", "article", "main", "section"):
-                        break
+                k = top((name,))
+                if k and (k >= top(_CELLS) or name in _OUTER):
+                    pop_to(k)
                 continue
             if name in RAW:
                 if not m[3].endswith("/"):
@@ -126,25 +118,22 @@ class Page:
                     self.pieces.append((-1, "", False))
                 continue
             if name not in INLINE:
-                if any(x == "p" for x, _ in stack):
-                    pop_to(max(k for k, (x, _) in enumerate(stack) if x == "p"))
+                if k := top(("p",)):
+                    pop_to(k)
                 if name in CLOSES:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] in _SCOPE[name]:
+                    while (k := top(CLOSES[name])) > top(_SCOPE[name]):
+                        pop_to(k)
+                        if name not in _ROWS:
                             break
-                        if stack[k][0] in CLOSES[name]:
-                            pop_to(k)
-                            if name not in ("tr", "tbody", "tfoot", "thead"):
-                                break
                 self.pieces.append((-1, "", False))
-            bits = hints(m[3]) if m[3].strip() else 0
             node = stack[-1][1]
-            if name not in INLINE or bits or name == "button":
+            if name not in INLINE or name == "button":
                 node = len(self.tag)
                 self.tag.append(name)
                 self.parent.append(stack[-1][1])
-                self.bits.append(bits | _BIT.get(_BY_TAG.get(name, ""), 0))
+                self.names.append(names(m[3]) if m[3].strip() else ())
             links += name == "a"
+            places.setdefault(name, []).append(len(stack))
             stack.append((name, node))
         self._split()
 
@@ -161,7 +150,7 @@ class Page:
                         last = len(self.tag)
                         self.tag.append("#text")
                         self.parent.append(node)
-                        self.bits.append(0)
+                        self.names.append(())
                     out.append((last, text, link))
                 else:
                     out.append((last if last is not None and self.parent[last] == node else node, text, link))
@@ -171,11 +160,10 @@ class Page:
             out.append((node, text, link))
         self.pieces = out
 
-    def features(self) -> np.ndarray:
-        """One row for each node but the root; see NAMES."""
+    def features(self, weights: Mapping[str, float]) -> np.ndarray:
+        """One row for each node but the root; see NAMES. weights: what a name, or a tag in angle brackets, says for being left out."""
         n = len(self.tag)
-        chars, linked, marks, words = [0] * n, [0] * n, [0] * n, [0] * n
-        before, seen = [-1] * n, 0
+        own, linked, marks, words, before, seen = [0] * n, [0] * n, [0] * n, [0] * n, [-1] * n, 0
         for node, text, link in self.pieces:
             if node < 0:
                 continue
@@ -184,64 +172,100 @@ class Page:
                 continue
             if before[node] < 0:
                 before[node] = seen
-            chars[node] += size
+            own[node] += size
             linked[node] += size * link
             marks[node] += len(_PUNCTUATION.findall(text))
             words[node] += text.count(" ") + 1
             seen += size
-        own, page = list(chars), max(1, seen)
-        below, paragraphs, kids, depth, above, in_content = [1] * n, [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
-        order: list[list[int]] = [[] for _ in range(n)]
-        places, alike = [0] * n, [Counter() for _ in range(n)]
+        parent = self.parent
+        below, kids, depth, place = [1] * n, [0] * n, [0] * n, [0] * n
+        self.order = order = [[] for _ in range(n)]
+        known: dict[tuple[str, tuple[str, ...]], tuple[float, ...]] = {}
+        name, path = np.zeros((n, 6)), [(0.0, 0.0, 0.0)] * n
         for k in range(1, n):
-            p = self.parent[k]
-            places[k] = len(order[p])
+            p = parent[k]
+            depth[k] = depth[p] + 1
+            place[k] = len(order[p])
             order[p].append(k)
-            alike[p][self.tag[k]] += 1
-        line = [0]
-        for k in line:
-            line.extend(order[k])
-        for k in line[1:]:
-            p = self.parent[k]
-            depth[k], above[k] = depth[p] + 1, above[p] | self.bits[p]
-        for k in reversed(line):
-            paragraphs[k] += self.tag[k] == "p"
-            p = self.parent[k]
-            if p >= 0:
-                chars[p] += chars[k]
-                linked[p] += linked[k]
-                marks[p] += marks[k]
-                words[p] += words[k]
-                below[p] += below[k]
-                paragraphs[p] += paragraphs[k]
-                kids[p] += 1
-                if before[k] >= 0 and (before[p] < 0 or before[k] < before[p]):
-                    before[p] = before[k]
-        some = any(self.bits[k] & _BIT["content"] for k in range(n))
-        x = np.zeros((n - 1, len(NAMES)))
-        log = math.log1p
+            look = (self.tag[k], self.names[k])
+            if look not in known:
+                some = [weights[w] for w in look[1] if w in weights]
+                by_tag = weights.get(f"<{look[0]}>", 0.0)
+                known[look] = (sum(some), max(some, default=0.0), min(some, default=0.0), 2.0 if some else 1.0 if look[1] else 0.0, max([by_tag, *some]), min([by_tag, *some]))
+            name[k] = known[look]
+            high, low = known[look][4:]
+            most, least, _ = path[p]
+            path[k] = (max(most, high), min(least, low), high if abs(high) > abs(low) else low)
+        for k in range(n - 1, 0, -1):  # a node comes after its parent
+            p = parent[k]
+            below[p] += below[k]
+            kids[p] += 1
+            if before[k] >= 0 and (before[p] < 0 or before[k] < before[p]):
+                before[p] = before[k]
+        at, free = [0] * n, [1] * n  # places in preorder, so that a subtree is a stretch
         for k in range(1, n):
-            p, row = self.parent[k], x[k - 1]
-            row[TAGS.index(_TAG_GROUP.get(self.tag[k], "other"))] = 1
-            at = len(TAGS)
-            for i in range(len(HINTS)):
-                row[at + i] = self.bits[k] >> i & 1
-                row[at + len(HINTS) + i] = above[k] >> i & 1
-            at += 2 * len(HINTS)
-            siblings, place, same = order[p], places[k], alike[p][self.tag[k]]
-            near = siblings[max(0, place - 3) : place + 4]
-            beside = [chars[s] for s in near if s != k]
-            c = chars[k]
-            row[at:] = (
-                depth[k], log(below[k]), log(kids[k]), log(own[k]), log(c), c / below[k] / 100, linked[k] / max(1, c), c / page,
-                max(0, before[k]) / page, log(paragraphs[k]), paragraphs[k] / max(1, paragraphs[0]), 100 * marks[k] / max(1, c), c / max(1, words[k]),
-                log(len(siblings)), place / max(1, len(siblings)), same / len(siblings), log(sum(beside) / len(beside)) if beside else 0.0,
-                linked[p] / max(1, chars[p]), chars[p] / page, some, place == len(siblings) - 1, linked[k] == c, log(words[k]),
-            )
-        self.chars = chars
-        self.order = order
+            p = parent[k]
+            at[k] = free[p]
+            free[p] += below[k]
+            free[k] = at[k] + 1
+        if n == 1:
+            self.chars = own
+            return np.zeros((0, len(NAMES)))
+        at, below, kids, depth, place, before, up = (np.array(x) for x in (at, below, kids, depth, place, before, parent))
+        tag = np.array([_INDEX.get(t, _OTHER) for t in self.tag])
+
+        def whole(values: list | np.ndarray) -> np.ndarray:
+            """Sums over subtrees."""
+            dealt = np.zeros(n + 1, np.int64)
+            dealt[at + 1] = values
+            total = np.cumsum(dealt)
+            return total[at + below] - total[at]
+
+        chars, linked, marks, words = (whole(x) for x in (own, linked, marks, words))
+        paragraphs, controls = whole(tag == TAGS.index("p")), whole([t in _CONTROLS for t in self.tag])
+        page, c, k = max(1, int(chars[0])), chars.astype(float), np.arange(1, n)
+        p = up[k]
+        looks: dict[tuple, int] = {}
+        look = np.array([looks.setdefault((t, w), len(looks)) for t, w in zip(self.tag, self.names, strict=True)])
+        share = [_like(p, x[k], kids[p]) for x in (tag, look)]
+        row = np.argsort(p * n + place[k], kind="stable")  # siblings beside each other
+        line, siblings = c[k][row], kids[p][row]
+        total = np.concatenate([[0.0], np.cumsum(line)])
+        here, spot = np.arange(n - 1), place[k][row]
+        low, high = here - np.minimum(spot, 3), here + np.minimum(siblings - 1 - spot, 3) + 1
+        beside, same = np.empty(n - 1), np.zeros((n - 1, 2))
+        beside[row] = (total[high] - total[low] - line) / np.maximum(1, high - low - 1)
+        ordered = tag[k][row]
+        alike = (ordered[1:] == ordered[:-1]) & (spot[1:] > 0)
+        same[row[1:], 0], same[row[:-1], 1] = alike, alike
+        path = np.array(path)
+        at_least = np.maximum(1, c)
+        some = bool((name[:, 2] < -1).any() or any(t in ("article", "main") for t in self.tag))
+        x = np.zeros((n - 1, len(NAMES)))
+        x[here, tag[k]] = 1
+        log = np.log1p
+        numbers = (
+            *name[k].T, *path[p].T, same[:, 0], same[:, 1], share[1], log(controls[k]),
+            depth[k], log(below[k]), log(kids[k]), log(np.array(own)[k]), log(c[k]), c[k] / below[k] / 100, linked[k] / at_least[k], c[k] / page,
+            np.maximum(0, before[k]) / page, log(paragraphs[k]), paragraphs[k] / max(1, paragraphs[0]), 100 * marks[k] / at_least[k], c[k] / np.maximum(1, words[k]),
+            log(kids[p]), place[k] / kids[p], share[0], log(beside),
+            linked[p] / at_least[p], c[p] / page, np.full(n - 1, some), place[k] == kids[p] - 1, linked[k] == chars[k], log(words[k]),
+        )
+        for i, values in enumerate(numbers, len(TAGS)):
+            x[:, i] = values
+        self.chars = chars.tolist()
         return x
 
 
-NUMBERS = ("depth", "nodes", "children", "own", "chars", "density", "links", "share", "before", "paragraphs", "paragraph_share", "marks", "word_length", "siblings", "place", "alike", "beside", "parent_links", "parent_share", "named_content", "last", "all_links", "words")
-NAMES = (*TAGS, *(f"is_{h}" for h in HINTS), *(f"in_{h}" for h in HINTS), *NUMBERS)
+def _like(parent: np.ndarray, kind: np.ndarray, siblings: np.ndarray) -> np.ndarray:
+    """Of each node's parent the share of children of the node's kind."""
+    _, which, counts = np.unique(parent * (int(kind.max()) + 1) + kind, return_inverse=True, return_counts=True)
+    return counts[which] / siblings
+
+
+NUMBERS = (
+    "name_sum", "name_most", "name_least", "named", "says_most", "says_least", "path_most", "path_least", "parent_says", "like_before", "like_after", "same_look", "controls",
+    "depth", "nodes", "children", "own", "chars", "density", "links", "share", "before", "paragraphs", "paragraph_share", "marks", "word_length", "siblings", "place", "alike", "beside",
+    "parent_links", "parent_share", "named_content", "last", "all_links", "words",
+)
+NAMES = (*TAGS, *NUMBERS)
