@@ -6,6 +6,7 @@ loss of any executor, and is computed once however often it is read afterwards.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,9 +19,11 @@ _recorders: list[list[str]] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where none is set (tests)."""
+    """The session's ``spark.checkpoint.dir``. Where none is set, a temporary folder if all runs in this process, else an error: executors don't share the driver's folders."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="viewrecon-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
