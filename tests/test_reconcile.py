@@ -16,6 +16,7 @@ from viewrecon.operators.stats import identities_hold, job_stats, stats_line
 from viewrecon.plans.job import Run
 from viewrecon.plans.schema import TableSpec, common_cells
 from viewrecon.plans.settings import Settings
+from viewrecon.sources.staging import shared_folder, staged
 from viewrecon.sources.tables import read_table
 
 T1, T2 = 1704067200000000, 1704153600000000
@@ -144,18 +145,19 @@ def test_repair_and_identities(spark):
     joined = r.joined(b, v)
     plan = {(p.pk, p.column): (p.value, p.timestamp, p.ttl, p.flavor) for p in fix.upsert_plan(joined).collect()}
     assert plan == {("Driver2", "c4"): ("44", T2, None, "TIMESTAMP"), **{("Driver3", c): (x, T1, 3600, "TIMESTAMP_TTL") for c, x in (("c2", "1"), ("c3", "2"), ("c4", "3"))}}
-    outcomes = {o.pk: (o.outcome, o.error) for o in fix.outcomes(joined, b).collect()}
+    outcomes = {o.pk: (o.outcome, o.error) for o in r.flat(fix.outcomes(joined, fix.delete_plan(joined, b))).collect()}
     assert outcomes == {"Driver1": (None, None), "Driver2": ("UPSERTED", None), "Driver3": ("UPSERTED", None), "Driver4": ("DELETED", None), "Driver5": ("UPSERT_ERROR", "key value is null: c1")}
     failed = spark.createDataFrame([(1, "Driver4", "SF", 2020, "refused"), (11, "Driver2", "NY", 2021, "down")], "c1 int, pk string, ck1 string, ck2 int, error string")
-    s = job_stats(fix.outcomes(joined, b, failed)).first()
+    s = job_stats(fix.outcomes(joined, fix.delete_plan(joined, b), failed)).first()
     assert identities_hold(s) and (s.delErrRecords, s.upsertErrRecords, s.upsertSuccessRecords) == (1, 2, 1)
     fresh = b.unionByName(v.filter("pk = 'Driver4'"))
-    s = job_stats(fix.outcomes(joined, fresh)).first()
+    s = job_stats(fix.outcomes(joined, fix.delete_plan(joined, fresh))).first()
     assert identities_hold(s) and s.notDelRecords == 1
     assert stats_line(s).startswith("totRecords: 5, skippedRecords: 0, consistentRecords: 1, inConsistentRecords: 1, missingBaseTableRecords: 1, missingMvRecords: 2,")
-    none = job_stats(Repairer(r, Settings()).outcomes(joined, b)).first()
+    idle = Repairer(r, Settings())
+    none = job_stats(idle.outcomes(joined, idle.delete_plan(joined, b))).first()
     assert identities_hold(none) and none.notRepairRecords == 4
-    after = fix.repaired(joined, b)
+    after = fix.repaired(joined, fix.delete_plan(joined, b))
     spec = TableSpec.of(after, KEYS, **after_repair(r.view))
     assert {x.pk: x.state for x in Reconciler(r.base, spec, 0, 4_000_000_000).labels(b, after).collect()} == {"Driver1": "CONSISTENT", "Driver2": "CONSISTENT", "Driver3": "CONSISTENT", "Driver5": "MISSING_IN_MV_TABLE"}
 
@@ -189,7 +191,7 @@ def test_latest_timestamp_and_key_only_view(spark):
     r = Reconciler(TableSpec.of(b, ("pk", "ck1", "ck2")), TableSpec.of(v, KEYS), 0, 1)
     fix = Repairer(r, ALL)
     joined = r.joined(b, v)
-    assert fix.upsert_plan(joined).count() == 0 and fix.repaired(joined, b).count() == 2
+    assert fix.upsert_plan(joined).count() == 0 and fix.repaired(joined, fix.delete_plan(joined, b)).count() == 2
 
 
 def test_statements(spark):
@@ -208,7 +210,7 @@ def test_report_and_job(spark, tmp_path):
     s = Settings(0, 4_000_000_000, base_table=f"{tmp_path}/b", view_table=f"{tmp_path}/v", fix_missing=True, fix_orphans=True, fix_inconsistent=True, output_dir=f"{tmp_path}/out", scan_rows_per_second=1000)
     run = Run(s, KEYS, {"keys": ("pk", "ck1", "ck2"), "write_time": "wt", "ttl": "ttl"}, {"write_time": "wt", "ttl": "ttl"})
     line, repaired = run(spark)
-    assert "upsertErrRecords: 1" in line and repaired.count() == 3
+    assert "upsertErrRecords: 1, upsertSuccessRecords: 0" in line and "delAttemptedRecords: 0" in line and repaired.count() == 3
     text = spark.read.text(f"{tmp_path}/out/findings", wholetext=True).collect()
     assert {t.category for t in text} == {"INCONSISTENT", "MISSING_IN_BASE_TABLE", "MISSING_IN_MV_TABLE", "ERR_UPSERTING"}
     one = next(t.value for t in text if t.category == "INCONSISTENT")
@@ -250,6 +252,66 @@ def test_console_sink_prints_every_block(spark, capsys):
     assert capsys.readouterr().out == "".join(f"{b}\n" for b in want)
 
 
+@pytest.mark.parametrize("names", [("state", "base", "view"), ("action", "error", "present"), ("column", "kind", "value"), ("key", "by", "outcome")])
+def test_keys_of_any_name(spark, tmp_path, names):
+    """Key columns that are called like the engine's own keep their values, under ``key_`` and their name where a result has that name."""
+    b = spark.createDataFrame([(1, "x", None, 5), (2, "y", 2, 6), (3, "z", 3, 7)], f"`{names[0]}` int, `{names[1]}` string, `{names[2]}` int, cell int")
+    v = spark.createDataFrame([(1, "x", None, 5), (2, "y", 2, 60), (4, "w", 4, 8)], b.schema)
+    for unique in (True, False):
+        r = Reconciler(TableSpec.of(b, names[:1], "base"), TableSpec.of(v, names, "view"), 0, 1, unique=unique)
+        fix = Repairer(r, ALL)
+        joined = r.joined(b, v)
+        got = sorted(tuple(x) for x in r.labels(b, v).collect())
+        assert got == [(1, "x", None, "CONSISTENT"), (2, "y", 2, "INCONSISTENT"), (3, "z", 3, "MISSING_IN_MV_TABLE"), (4, "w", 4, "MISSING_IN_BASE_TABLE")]
+        deletes = fix.delete_plan(joined, b)
+        assert [tuple(x) for x in deletes.collect()] == [(4, "w", 4, False)]
+        assert sorted(tuple(x)[:4] for x in fix.upsert_plan(joined).collect()) == [(2, "y", 2, "cell"), (3, "z", 3, "cell")]
+
+        def never(statement, row):
+            raise OSError("no")
+
+        refused = mutated(deletes, r, never)
+        assert [tuple(x)[:3] for x in refused.collect()] == [(4, "w", 4)]
+        outcomes = fix.outcomes(joined, deletes, refused)
+        assert sorted((x.key[0], x.outcome) for x in outcomes.collect()) == [(1, None), (2, "UPSERTED"), (3, "UPSERTED"), (4, "DELETE_ERROR")]
+        assert {x.category for x in report.routed(report.blocks(r.found(joined), r), outcomes).collect()} == {"INCONSISTENT", "MISSING_IN_MV_TABLE", "MISSING_IN_BASE_TABLE", "ERR_DELETING"}
+        after = fix.repaired(joined, deletes)
+        assert after.columns == [*names, "cell"] and sorted(x[0] for x in after.collect()) == [1, 2, 3]
+
+
+def test_a_folder_that_all_share(spark, monkeypatch):
+    class Elsewhere:
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("Context", (), {"master": "yarn", "getConf": staticmethod(lambda: type("C", (), {"get": staticmethod(lambda n: None)}))})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Elsewhere)
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def full_joins(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join FullOuter")
+
+
+def test_one_join_and_one_exchange_a_side(spark):
+    """What a run derives from the staged join has none of its own, and duplicate keys cost no further exchange."""
+    b, v = drifted(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    for unique in (True, False):
+        joined = reconciler(b, v, unique=unique).joined(b, v)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert full_joins(joined) == 1 and plan.count("Exchange hashpartitioning") == 2
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    r = reconciler(b, v)
+    fix, held = Repairer(r, ALL), staged(r.joined(b, v), "joined", by="state")
+    deletes = staged(fix.delete_plan(held, b), "deletes")
+    outcomes = fix.outcomes(held, deletes)
+    for df in (fix.upsert_plan(held), deletes, outcomes, job_stats(outcomes), report.routed(report.blocks(r.found(held), r), outcomes), fix.repaired(held, deletes)):
+        assert full_joins(df) == 0
+    scan = r.found(held)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [state" in scan
+
+
 def test_settings():
     s = Settings.from_mapping({"viewrecon.start_seconds": "5", "spark.viewrecon.start_seconds": "6", "spark.viewrecon.fix_missing": "TRUE", "viewrecon.output_dir": ""})
     assert s == Settings(start_seconds=5, fix_missing=True)
@@ -261,7 +323,8 @@ def test_no_rows(spark):
     b, v = b.limit(0), v.limit(0)
     r = reconciler(b, v)
     assert r.findings(b, v).count() == 0
-    s = job_stats(Repairer(r, ALL).outcomes(r.joined(b, v), b)).first()
+    fix, joined = Repairer(r, ALL), r.joined(b, v)
+    s = job_stats(fix.outcomes(joined, fix.delete_plan(joined, b))).first()
     assert identities_hold(s) and s.totRecords == 0
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from viewrecon.operators.reconcile import Reconciler
 from viewrecon.operators.repair import statements
+from viewrecon.sources.staging import staged
 
 Writer = Callable[[str, dict], None]
 
@@ -23,12 +24,14 @@ def mutated(plan: DataFrame, r: Reconciler, write: Writer, namespace: str = "",
     """(key, error): the rows of an upsert or delete plan that ``write(statement, row)`` raised on.
 
     Rows that the recheck of a delete plan found ``present`` are not handed over. The limit holds in each task;
-    0 means none. Nothing is written before the result is: cache or write it, and don't read it twice.
+    0 means none. All is written, once, before this returns; the result is a table and may be read again.
     """
-    keys, columns = list(r.keys), plan.columns
+    columns = plan.columns
+    keys = columns[: len(r.keys)]
+    names = [f"key_{k}" if k.lower() == "error" else k for k in keys]
     texts = statements(namespace, r.base.name, r.view.name, r.view)
-    delete = "column" not in columns
-    schema = T.StructType([*(plan.schema[k] for k in keys), T.StructField("error", T.StringType())])
+    delete = columns[-1] == "present"
+    schema = T.StructType([*(T.StructField(n, plan.schema[k].dataType) for n, k in zip(names, keys, strict=True)), T.StructField("error", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free = time.monotonic()
@@ -46,6 +49,6 @@ def mutated(plan: DataFrame, r: Reconciler, write: Writer, namespace: str = "",
                 except Exception as e:
                     refused.append([*(row[k] for k in keys), f"Error {'deleting' if delete else 'upserting'} data: {e}\nquery: {statement}"])
             columns = [pa.array([x[i] for x in refused], batch.column(batch.schema.names.index(k)).type) for i, k in enumerate(keys)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([x[-1] for x in refused], pa.string())], [*keys, "error"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([x[-1] for x in refused], pa.string())], [*names, "error"])
 
-    return plan.mapInArrow(run, schema)
+    return staged(plan.mapInArrow(run, schema), "refused")

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from viewrecon.functions.kinds import comparable, differs, rendered
 from viewrecon.plans.schema import Cell, TableSpec, common_cells
-from viewrecon.sources.tables import scan
+from viewrecon.sources.tables import key_of, scan
 
 #: The labels of a key.
 SKIPPED, ORPHAN, MISSING, INCONSISTENT, CONSISTENT = "SKIPPED", "MISSING_IN_BASE_TABLE", "MISSING_IN_MV_TABLE", "INCONSISTENT", "CONSISTENT"
@@ -29,10 +29,10 @@ def write_time_bounds(spec: TableSpec, names: tuple[str, ...], strict: bool = Fa
     times = []
     for c in (spec.cell(n) for n in names):
         if c.write_time:
-            at = F.col(f"writetime({c.name})")
+            at = F.col(f"`writetime({c.name})`")
             if strict:
-                at = F.when(F.col(c.name).isNotNull() & at.isNull(), F.raise_error(F.lit(f"{c.name} has no write time")).cast("long")).otherwise(at)
-            times.append(F.when(F.col(c.name).isNotNull(), at))
+                at = F.when(F.col(f"`{c.name}`").isNotNull() & at.isNull(), F.raise_error(F.lit(f"{c.name} has no write time")).cast("long")).otherwise(at)
+            times.append(F.when(F.col(f"`{c.name}`").isNotNull(), at))
     if not times:
         none = F.lit(None).cast("long")
         return none, none
@@ -47,8 +47,11 @@ def out_of_scope(least: Column, most: Column, start_seconds: int, end_seconds: i
 
 def first_rows(df: DataFrame, keys: tuple[str, ...], order: list[Column]) -> DataFrame:
     """One row for each key, the first in the given order."""
-    window = Window.partitionBy(*(F.col(k) for k in keys)).orderBy(*order)
-    return df.withColumn("_nth", F.row_number().over(window)).filter("_nth = 1").drop("_nth")
+    nth = "nth"
+    while nth in df.columns:
+        nth += "_"
+    window = Window.partitionBy(*(F.col(f"`{k}`") for k in keys)).orderBy(*order)
+    return df.withColumn(nth, F.row_number().over(window)).filter(F.col(nth) == 1).drop(nth)
 
 
 @dataclass(frozen=True)
@@ -78,24 +81,38 @@ class Reconciler:
         rows = scan(df, spec)
         if self.exclude_null_keys and name == "base":
             rows = rows.dropna(subset=list(self.keys))
-        if not self.unique:
-            order = [comparable(F.col(f"`{f.name}`"), f.dataType).asc_nulls_last() for f in rows.schema.fields if f.name not in self.keys]
-            rows = first_rows(rows, self.keys, order or [F.lit(1)])
+        order = [comparable(F.col(f"`{f.name}`"), f.dataType).alias(f"by_{i}") for i, f in enumerate(rows.schema.fields) if f.name not in self.keys]
         out = out_of_scope(*write_time_bounds(spec, self.common, self.strict), self.start_seconds, self.end_seconds)
         record = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
-        return rows.select(*(F.col(k).alias(f"{name}_{k}") for k in self.keys), record.alias(name), out.alias(f"{name}_out"))
+        side = [key_of(self.keys).alias(f"{name}_key"), record.alias(name), out.alias(f"{name}_out")]
+        if self.unique:
+            return rows.select(*side)
+        # The window runs on the very column that is joined, so that one exchange and one sort serve both.
+        some = rows.select(*side, F.struct(F.lit(1).alias("one"), *order).alias("by"))
+        return first_rows(some, (f"{name}_key",), [F.col("by").asc_nulls_last()]).drop("by")
 
     def joined(self, base: DataFrame, view: DataFrame) -> DataFrame:
-        """Key columns, ``base`` and ``view`` (structs, null where absent), and ``state``."""
+        """``key`` (a struct, whose fields may have any names), ``base`` and ``view`` (structs, null where absent), and ``state``."""
         b, v = self._side(base, self.base, "base"), self._side(view, self.view, "view")
-        both = b.join(v, [F.col(f"base_{k}").eqNullSafe(F.col(f"view_{k}")) for k in self.keys], "full_outer")
+        both = b.join(v, F.col("base_key") == F.col("view_key"), "full_outer")
         skipped = F.coalesce("base_out", F.lit(False)) | F.coalesce("view_out", F.lit(False))
         unequal = F.lit(False)
         for c in self._common_cells():
             unequal = unequal | self._differs(c)
         state = F.when(skipped, SKIPPED).when(F.col("base").isNull(), ORPHAN).when(F.col("view").isNull(), MISSING).when(unequal, INCONSISTENT).otherwise(CONSISTENT)
-        # A present side's key is its own: coalesce only reaches the other side where this one is absent or null.
-        return both.select(*(F.coalesce(f"base_{k}", f"view_{k}").alias(k) for k in self.keys), "base", "view", state.alias("state"))
+        return both.select(F.coalesce("base_key", "view_key").alias("key"), "base", "view", state.alias("state"))
+
+    def flat(self, df: DataFrame) -> DataFrame:
+        """``df`` with the fields of ``key`` as columns; one whose name another column has is called ``key_`` and its name."""
+        rest = [c for c in df.columns if c != "key"]
+        names = {k: f"key_{k}" if k.lower() in {c.lower() for c in rest} else k for k in self.keys}
+        return df.select(*(F.col("key").getField(k).alias(n) for k, n in names.items()), *rest)
+
+    def keyed(self, df: DataFrame) -> DataFrame:
+        """What ``flat`` made, or a table with the key's columns, with ``key`` again."""
+        names = {k: f"key_{k}" if f"key_{k}" in df.columns else k for k in self.keys}
+        rest = [c for c in df.columns if c not in names.values()]
+        return df.select(F.struct(*(F.col(f"`{n}`").alias(k) for k, n in names.items())).alias("key"), *(F.col(f"`{c}`") for c in rest))
 
     def _common_cells(self) -> list[Cell]:
         return [self.view.cell(n) for n in self.common]
@@ -104,7 +121,7 @@ class Reconciler:
         return differs(F.col(f"base.`{c.name}`"), F.col(f"view.`{c.name}`"), c.data_type, c.kind)
 
     def labels(self, base: DataFrame, view: DataFrame) -> DataFrame:
-        return self.joined(base, view).select(*self.keys, "state")
+        return self.flat(self.joined(base, view).select("key", "state"))
 
     def mismatches(self) -> Column:
         """Of a joined row: name, kind and both values, as text or null, of each common cell that differs, by name."""
@@ -119,14 +136,15 @@ class Reconciler:
 
     def findings(self, base: DataFrame, view: DataFrame) -> DataFrame:
         """Joined rows that need attention, with ``mismatches``, the first of which is ``mismatch``."""
-        return self.found(self.joined(base, view))
+        return self.flat(self.found(self.joined(base, view)))
 
     def found(self, joined: DataFrame) -> DataFrame:
         """``findings`` of rows that are joined already."""
         rows = joined.filter(F.col("state").isin(ORPHAN, MISSING, INCONSISTENT))
         return rows.withColumn("mismatches", self.mismatches()).withColumn("mismatch", F.get("mismatches", F.lit(0)))
 
-    def key_text(self) -> Column:
-        """``name:KIND:value`` of each key column, by name."""
-        parts = [F.concat(F.lit(f"{k.name}:{k.kind}:"), rendered(F.col(k.name), k.data_type, k.kind)) for k in sorted(self.view.keys, key=lambda k: k.name)]
+    def key_text(self, key: Column | None = None) -> Column:
+        """``name:KIND:value`` of each key column, by name. key: a struct, the column ``key`` by default."""
+        key = F.col("key") if key is None else key
+        parts = [F.concat(F.lit(f"{k.name}:{k.kind}:"), rendered(key.getField(k.name), k.data_type, k.kind)) for k in sorted(self.view.keys, key=lambda k: k.name)]
         return F.concat_ws(",", *parts)

@@ -13,9 +13,10 @@ from viewrecon.functions.kinds import differs, rendered
 from viewrecon.operators.reconcile import CONSISTENT, INCONSISTENT, MISSING, ORPHAN, SKIPPED, Reconciler
 from viewrecon.plans.schema import TableSpec, check_repairable
 from viewrecon.plans.settings import Settings
-from viewrecon.sources.tables import present_in
+from viewrecon.sources.staging import staged
+from viewrecon.sources.tables import key_of
 
-DELETE, UPSERT, NONE = "DELETE", "UPSERT", "NONE"
+DELETE, UPSERT, NONE, PLANNED = "DELETE", "UPSERT", "NONE", "PLANNED"
 #: The ways to write a cell, by whether a timestamp and a time to live are given.
 FLAVORS = ("NO_TIMESTAMP_TTL", "TIMESTAMP", "TTL", "TIMESTAMP_TTL")
 
@@ -37,8 +38,9 @@ class Repairer:
 
     def actions(self, joined: DataFrame) -> DataFrame:
         """``joined`` with ``action`` and ``error``, which says why an upsert can't be done: a null in the key."""
-        null_key = [F.when(F.col(k).isNull(), F.lit(k)) for k in self.r.keys]
-        error = F.when((F.col("action") == UPSERT) & F.greatest(*(F.col(k).isNull() for k in self.r.keys), F.lit(False)), F.concat(F.lit("key value is null: "), F.concat_ws(",", *null_key)))
+        fields = {k: F.col("key").getField(k) for k in self.r.keys}
+        null_key = [F.when(field.isNull(), F.lit(k)) for k, field in fields.items()]
+        error = F.when((F.col("action") == UPSERT) & F.greatest(*(field.isNull() for field in fields.values()), F.lit(False), F.lit(False)), F.concat(F.lit("key value is null: "), F.concat_ws(",", *null_key)))
         return joined.withColumn("action", action(self.settings)).withColumn("error", error)
 
     def upsert_plan(self, joined: DataFrame) -> DataFrame:
@@ -53,44 +55,50 @@ class Repairer:
             cells.append(F.when(write, F.struct(F.lit(name).alias("column"), F.lit(c.kind).alias("kind"), F.when(value.isNotNull(), rendered(value, c.data_type, c.kind)).alias("value"), timestamp.alias("timestamp"), ttl.alias("ttl"), flavor(timestamp, ttl).alias("flavor"))))
         rows = self.actions(joined).filter(F.col("action") == UPSERT).filter(F.col("error").isNull())
         if not cells:
-            return rows.select(*self.r.keys, F.lit(None).cast("string").alias("column")).limit(0)
-        planned = rows.select(*self.r.keys, F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("cell"))
-        return planned.select(*self.r.keys, "cell.*")
+            return self.r.flat(rows.select("key", F.lit(None).cast("string").alias("column")).limit(0))
+        planned = rows.select("key", F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("cell"))
+        return self.r.flat(planned.select("key", "cell.*"))
 
     def delete_plan(self, joined: DataFrame, fresh_base: DataFrame) -> DataFrame:
-        """(key, present): orphans to delete, with ``present`` where the fresh base holds the key after all."""
-        orphans = self.actions(joined).filter(F.col("action") == DELETE).select(*self.r.keys)
-        there = present_in(orphans, fresh_base, self.r.keys).distinct().withColumn("present", F.lit(True))
-        other = there.select(*(F.col(k).alias(f"_{k}") for k in self.r.keys), "present")
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.r.keys]
-        return orphans.join(other, same, "left").select(*self.r.keys, F.coalesce("present", F.lit(False)).alias("present"))
-
-    def outcomes(self, joined: DataFrame, fresh_base: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+        """(key, present): orphans to delete, with ``present`` where the fresh base holds the key after all.
+
+        Orphans are staged, so that the fresh base is met by a table of known size and shuffled only if that is large.
+        """
+        orphans = staged(self.actions(joined).filter(F.col("action") == DELETE).select("key"), "orphans")
+        there = fresh_base.select(key_of(self.r.keys).alias("key")).join(orphans, "key", "left_semi").distinct().withColumn("present", F.lit(True))
+        return self.r.flat(orphans.join(there, "key", "left").select("key", F.coalesce("present", F.lit(False)).alias("present")))
+
+    def outcomes(self, joined: DataFrame, deletes: DataFrame, failed: DataFrame | None = None, applied: bool = True) -> DataFrame:
         """(key, state, action, outcome, error) of every key.
 
-        Outcomes: DELETED, KEPT, DELETE_ERROR, UPSERTED, UPSERT_ERROR, or none. ``failed``: (key, error) of
-        writes that a sink refused.
+        Outcomes: DELETED, KEPT, DELETE_ERROR, UPSERTED, UPSERT_ERROR, or none; PLANNED in place of the first and
+        fourth where the plans aren't ``applied``. deletes: the delete plan. failed: (key, error) of writes that were
+        refused. Only keys with an action meet the two; ``joined`` is read twice and should be a table.
         """
-        rows = self.actions(joined).select(*self.r.keys, "state", "action", "error")
-        deletes = self.delete_plan(joined, fresh_base).select(*(F.col(k).alias(f"_{k}") for k in self.r.keys), "present")
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.r.keys]
-        rows = rows.join(deletes, same, "left").drop(*(f"_{k}" for k in self.r.keys))
+        rows = self.actions(joined).select("key", "state", "action", "error")
+        acted = rows.filter(F.col("action") != NONE).join(self.r.keyed(deletes), "key", "left")
         if failed is not None:
-            refused = failed.select(*(F.col(k).alias(f"_{k}") for k in self.r.keys), F.col("error").alias("_error"))
-            rows = rows.join(refused, same, "left").withColumn("error", F.coalesce("error", F.when((F.col("action") == UPSERT) | (F.col("action") == DELETE) & ~F.col("present"), F.col("_error")))).drop("_error", *(f"_{k}" for k in self.r.keys))
-        outcome = F.when(F.col("action") == UPSERT, F.when(F.col("error").isNull(), "UPSERTED").otherwise("UPSERT_ERROR")).when(F.col("action") == DELETE, F.when(F.col("present"), "KEPT").when(F.col("error").isNotNull(), "DELETE_ERROR").otherwise("DELETED"))
-        return rows.select(*self.r.keys, "state", "action", outcome.alias("outcome"), "error")
-
-    def repaired(self, joined: DataFrame, fresh_base: DataFrame) -> DataFrame:
+            refused = self.r.keyed(failed).withColumnRenamed("error", "refused")
+            written = (F.col("action") == UPSERT) | (F.col("action") == DELETE) & ~F.col("present")
+            acted = acted.join(refused, "key", "left").withColumn("error", F.coalesce("error", F.when(written, F.col("refused"))))
+        done = lambda name: F.lit(name if applied else PLANNED)
+        upsert = F.when(F.col("error").isNull(), done("UPSERTED")).otherwise("UPSERT_ERROR")
+        delete = F.when(F.col("present"), "KEPT").when(F.col("error").isNotNull(), "DELETE_ERROR").otherwise(done("DELETED"))
+        outcome = F.when(F.col("action") == UPSERT, upsert).otherwise(delete)
+        quiet = rows.filter(F.col("action") == NONE).select("key", "state", "action", F.lit(None).cast("string").alias("outcome"), "error")
+        return acted.select("key", "state", "action", outcome.alias("outcome"), "error").unionByName(quiet)
+
+    def repaired(self, joined: DataFrame, deletes: DataFrame) -> DataFrame:
         """The view after the repair, with the columns of its scan: planned cells taken over with their write time
-        and time to live, planned orphans gone, everything else as it was. A key-only view gains the missing rows."""
+        and time to live, planned orphans gone, everything else as it was. A key-only view gains the missing rows.
+        deletes: the delete plan. ``joined`` is read twice and should be a table."""
         rows = self.actions(joined)
-        gone = self.delete_plan(joined, fresh_base).filter(~F.col("present")).select(*(F.col(k).alias(f"_{k}") for k in self.r.keys))
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.r.keys]
-        rows = rows.join(gone.withColumn("_gone", F.lit(True)), same, "left").filter(F.col("_gone").isNull())
+        gone = self.r.keyed(deletes).filter(~F.col("present")).select("key")
+        left = rows.filter(F.col("action") == DELETE).join(gone, "key", "left_anti")
+        rows = rows.filter(F.col("action") != DELETE).unionByName(left)
         fixed = (F.col("action") == UPSERT) & F.col("error").isNull()
         rows = rows.filter(F.col("view").isNotNull() | fixed)
-        out = [F.col(k) for k in self.r.keys]
+        out = [F.col("key").getField(k).alias(k) for k in self.r.keys]
         for c in self.r.view.cells:
             has_view, names = F.col("view").isNotNull(), [c.name]
             names += [f"writetime({c.name})"] * bool(c.write_time) + [f"ttl({c.name})"] * bool(c.ttl)

@@ -57,23 +57,22 @@ def blocks(findings: DataFrame, r: Reconciler) -> DataFrame:
         F.concat(F.lit("BaseColumn: "), cell_text("mismatch", "base_value")),
         F.concat(F.lit("MvColumn: "), cell_text("mismatch", "view_value")),
     )
-    return findings.select(*r.keys, F.col("state").alias("category"), block.alias("block"))
+    return findings.select("key", F.col("state").alias("category"), block.alias("block"))
 
 
-def routed(blocks_: DataFrame, outcomes: DataFrame, r: Reconciler) -> DataFrame:
+def routed(blocks_: DataFrame, outcomes: DataFrame) -> DataFrame:
     """(category, block): every finding under its label, and again with its error under that of a failed write."""
     errors = outcomes.filter(F.col("outcome").isin("DELETE_ERROR", "UPSERT_ERROR"))
-    errors = errors.select(*(F.col(k).alias(f"_{k}") for k in r.keys), F.when(F.col("outcome") == "DELETE_ERROR", DELETE_ERRORS).otherwise(UPSERT_ERRORS).alias("_category"), "error")
-    failed = blocks_.join(errors, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in r.keys])
-    failed = failed.select(F.col("_category").alias("category"), F.concat_ws("\n", "block", "error", F.lit(RULE)).alias("block"))
+    errors = errors.select("key", F.when(F.col("outcome") == "DELETE_ERROR", DELETE_ERRORS).otherwise(UPSERT_ERRORS).alias("failed"), "error")
+    failed = blocks_.join(errors, "key").select(F.col("failed").alias("category"), F.concat_ws("\n", "block", "error", F.lit(RULE)).alias("block"))
     return blocks_.select("category", F.concat_ws("\n", "block", F.lit(RULE)).alias("block")).unionByName(failed)
 
 
 def write_stats(outcomes: DataFrame, path: str) -> str:
     """The statistics as JSON and as a line of text, in two folders under ``path``."""
-    stats = job_stats(outcomes)
-    line = stats_line(stats.first())
-    spark = outcomes.sparkSession
-    stats.coalesce(1).write.mode("overwrite").json(f"{path}/stats-json")
-    spark.sql("SELECT :line AS value", args={"line": line}).coalesce(1).write.mode("overwrite").text(f"{path}/stats")
+    counted = job_stats(outcomes).first()
+    line, spark = stats_line(counted), outcomes.sparkSession
+    counts = spark.range(1).select(*(F.lit(n).alias(name) for name, n in counted.asDict().items()))
+    counts.coalesce(1).write.mode("overwrite").json(f"{path}/stats-json")
+    spark.range(1).select(F.lit(line).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/stats")
     return line

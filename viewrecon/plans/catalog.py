@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +13,13 @@ from viewrecon.operators import report
 from viewrecon.operators.mutate import mutated
 from viewrecon.operators.reconcile import first_rows, out_of_scope, write_time_bounds
 from viewrecon.operators.repair import Repairer, after_repair, statements
-from viewrecon.operators.stats import job_stats
+from viewrecon.operators.stats import COUNTERS, job_stats
 from viewrecon.plans.fixtures import END, KEYS, START, ctes, drift, reconciler, repair_settings
-from viewrecon.plans.schema import TableSpec
-from viewrecon.sources.tables import present_in, scan, throttled
+from viewrecon.plans.job import Run
+from viewrecon.plans.schema import TableSpec, check_repairable, common_cells
+from viewrecon.plans.settings import Settings
+from viewrecon.sources.staging import shared_folder, staged
+from viewrecon.sources.tables import key_of, present_in, scan, throttled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,7 +61,7 @@ def _joined(spark: SparkSession, sf_dir: str):
 
 def _repair(spark: SparkSession, sf_dir: str):
     r, base, _, joined = _joined(spark, sf_dir)
-    return Repairer(r, repair_settings()), base, joined
+    return Repairer(r, repair_settings()), base, staged(joined, "joined", by="state")
 
 
 def _cents(df: DataFrame) -> DataFrame:
@@ -79,7 +82,7 @@ def scan_cell_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(f"""WITH {ctes("duckdb")} SELECT 'o_custkey:BIGINT:' || o_custkey || ',o_orderkey:BIGINT:' || o_orderkey AS key_text FROM mv""")
 def record_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, view = drift(spark, sf_dir)
-    return view.select(reconciler(base, view).key_text().alias("key_text"))
+    return view.select(reconciler(base, view).key_text(key_of(KEYS)).alias("key_text"))
 
 
 _TIMES = f"""t AS (SELECT o_orderkey, wt AS a, CASE WHEN o_orderkey % 83 <> 0 THEN wt + o_orderkey END AS b, CASE WHEN o_orderkey % 5 <> 0 THEN wt - 7 END AS c FROM base)"""
@@ -175,8 +178,8 @@ SELECT coalesce(b.o_custkey, v.o_custkey, -1) AS o_custkey, coalesce(b.o_orderke
 FROM b FULL JOIN v ON b.o_custkey IS NOT DISTINCT FROM v.o_custkey AND b.o_orderkey IS NOT DISTINCT FROM v.o_orderkey""")
 def null_safe_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, view = (df.withColumn("o_custkey", F.expr(_NULL_KEY)) for df in drift(spark, sf_dir))
-    joined = reconciler(base, view).joined(base, view)
-    return joined.select(F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"), "o_orderkey", F.col("base").isNotNull().alias("in_base"), F.col("view").isNotNull().alias("in_view"))
+    r = reconciler(base, view)
+    return r.flat(r.joined(base, view)).select(F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"), "o_orderkey", F.col("base").isNotNull().alias("in_base"), F.col("view").isNotNull().alias("in_view"))
 
 
 # Cells by kind: each compares two values made from an order, and says whether they differ
@@ -223,32 +226,31 @@ SELECT j.o_custkey, j.o_orderkey, state AS category, concat_ws(chr(10), 'Problem
   'BaseColumn: ' || CASE WHEN f.name IS NOT NULL THEN concat_ws(':', f.name, f.kind, f.base_value) END, 'MvColumn: ' || CASE WHEN f.name IS NOT NULL THEN concat_ws(':', f.name, f.kind, f.view_value) END) AS block
 FROM j LEFT JOIN f ON f.o_custkey = j.o_custkey AND f.o_orderkey = j.o_orderkey WHERE state NOT IN ('SKIPPED', 'CONSISTENT')""")
 def finding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, found = _findings(spark, sf_dir)
-    return report.blocks(found, r)
+    base, view = (_cents(df) for df in drift(spark, sf_dir))
+    r = reconciler(base, view)
+    return r.flat(report.blocks(r.found(r.joined(base, view)), r))
 
 
-@_query(_JOINED + """SELECT count(*) AS "totRecords", count(*) FILTER (state = 'SKIPPED') AS "skippedRecords", count(*) FILTER (state = 'CONSISTENT') AS "consistentRecords",
-count(*) FILTER (state = 'INCONSISTENT') AS "inConsistentRecords", count(*) FILTER (state = 'MISSING_IN_BASE_TABLE') AS "missingBaseTableRecords", count(*) FILTER (state = 'MISSING_IN_MV_TABLE') AS "missingMvRecords",
-count(*) FILTER (action <> 'NONE') AS "repairRecords", CAST(0 AS BIGINT) AS "notRepairRecords", count(*) FILTER (action = 'DELETE') AS "delAttemptedRecords", CAST(0 AS BIGINT) AS "delErrRecords",
-count(*) FILTER (action = 'DELETE') AS "delSuccessRecords", CAST(0 AS BIGINT) AS "notDelRecords", count(*) FILTER (action = 'UPSERT') AS "upsertAttemptedRecords", CAST(0 AS BIGINT) AS "upsertErrRecords", count(*) FILTER (action = 'UPSERT') AS "upsertSuccessRecords" FROM p""")
-def job_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fix, base, joined = _repair(spark, sf_dir)
-    return job_stats(fix.outcomes(joined, base))
+_OUTCOMES = """, o AS (SELECT *, CASE WHEN action = 'DELETE' THEN 'DELETED' WHEN action = 'UPSERT' THEN 'UPSERTED' END AS outcome FROM p)
+"""
+_COUNTS = "SELECT " + ", ".join(f'count(*) FILTER ({condition}) AS "{name}"' for name, condition in {
+    "totRecords": "true", "skippedRecords": "state = 'SKIPPED'", "consistentRecords": "state = 'CONSISTENT'", "inConsistentRecords": "state = 'INCONSISTENT'",
+    "missingBaseTableRecords": "state = 'MISSING_IN_BASE_TABLE'", "missingMvRecords": "state = 'MISSING_IN_MV_TABLE'", "repairRecords": "action <> 'NONE'",
+    "notRepairRecords": "action = 'NONE' AND state IN ('INCONSISTENT', 'MISSING_IN_BASE_TABLE', 'MISSING_IN_MV_TABLE')", "delAttemptedRecords": "action = 'DELETE'",
+    "delErrRecords": "outcome = 'DELETE_ERROR'", "delSuccessRecords": "outcome = 'DELETED'", "notDelRecords": "outcome = 'KEPT'", "upsertAttemptedRecords": "action = 'UPSERT'",
+    "upsertErrRecords": "outcome = 'UPSERT_ERROR'", "upsertSuccessRecords": "outcome = 'UPSERTED'",
+}.items()) + " FROM o"
 
 
-@_query(None)
-def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r, found = _findings(spark, sf_dir)
+@_query(_JOINED + _OUTCOMES + _COUNTS)
+def job_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     fix, base, joined = _repair(spark, sf_dir)
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    path = f"{root.rstrip('/')}/report-{spark.sparkContext.applicationId}"
-    report.text_sink(report.routed(report.blocks(found, r), fix.outcomes(joined, base), r), path)
-    return spark.read.text(path).groupBy("category").agg(F.count_if(F.col("value") == report.RULE).alias("blocks"))
+    return job_stats(fix.outcomes(joined, fix.delete_plan(joined, base)))
 
 
 @_query("SELECT o_orderkey, o_custkey FROM orders")
 def throttled_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return throttled(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey"), 1_000_000)
+    return throttled(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey"), 100_000)
 
 
 # Repair
@@ -257,7 +259,7 @@ def throttled_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_JOINED + "SELECT o_custkey, o_orderkey, state, action FROM p")
 def repair_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     fix, _, joined = _repair(spark, sf_dir)
-    return fix.actions(joined).select(*KEYS, "state", "action")
+    return fix.r.flat(fix.actions(joined)).select(*KEYS, "state", "action")
 
 
 _UPSERTS = """, u AS (
@@ -311,7 +313,8 @@ def null_key_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = base.withColumn("o_custkey", F.expr(_NULL_KEY))
     r = reconciler(base, view)
     fix = Repairer(r, repair_settings())
-    return fix.outcomes(r.joined(base, view), base).filter("state = 'MISSING_IN_MV_TABLE'").select(F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"), "o_orderkey", "outcome")
+    joined = r.joined(base, view)
+    return r.flat(fix.outcomes(joined, fix.delete_plan(joined, base))).filter("state = 'MISSING_IN_MV_TABLE'").select(F.coalesce("o_custkey", F.lit(-1)).alias("o_custkey"), "o_orderkey", "outcome")
 
 
 def _refuse(statement: str, row: dict) -> None:
@@ -335,15 +338,177 @@ _REPAIRED = """, x AS (
 @_query(_JOINED + _REPAIRED + "SELECT * FROM x")
 def repaired_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     fix, base, joined = _repair(spark, sf_dir)
-    return fix.repaired(joined, base).select(*KEYS, "o_orderpriority", "o_orderstatus", "o_totalprice", F.col("`writetime(o_totalprice)`").alias("price_written"))
+    return fix.repaired(joined, fix.delete_plan(joined, base)).select(*KEYS, "o_orderpriority", "o_orderstatus", "o_totalprice", F.col("`writetime(o_totalprice)`").alias("price_written"))
 
 
 @_query(_JOINED + "SELECT CASE WHEN state = 'SKIPPED' THEN 'SKIPPED' ELSE 'CONSISTENT' END AS state, count(*) AS records FROM p WHERE action <> 'DELETE' GROUP BY ALL")
 def post_repair_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reconciling the repaired view finds nothing in scope."""
-    r, base, _, joined = _joined(spark, sf_dir)
-    after = Repairer(r, repair_settings()).repaired(joined, base)
+    fix, base, joined = _repair(spark, sf_dir)
+    r, after = fix.r, fix.repaired(joined, fix.delete_plan(joined, base))
     spec = TableSpec.of(after, KEYS, "repaired", **after_repair(r.view))
     again = type(r)(r.base, spec, START, END)
     return again.labels(base, after).groupBy("state").agg(F.count("*").alias("records"))
 
+
+
+# Whole runs, and what they write
+
+#: A run that repairs no inconsistent record, meets a base that has gained some orphans, and a writer that refuses some keys.
+_APPLIED = """, q AS (SELECT * REPLACE (CASE WHEN state = 'INCONSISTENT' THEN 'NONE' ELSE action END AS action), o_orderkey > 10000000 AND o_orderkey % 4 = 0 AS gained, o_orderkey % 10 = 0 AS refused FROM p),
+o AS (SELECT *, CASE WHEN action = 'DELETE' THEN CASE WHEN gained THEN 'KEPT' WHEN refused THEN 'DELETE_ERROR' ELSE 'DELETED' END
+                     WHEN action = 'UPSERT' THEN CASE WHEN refused THEN 'UPSERT_ERROR' ELSE 'UPSERTED' END END AS outcome FROM q)
+"""
+
+
+def _applied(spark: SparkSession, sf_dir: str):
+    r, base, view, joined = _joined(spark, sf_dir)
+    fix = Repairer(r, Settings(START, END, fix_missing=True, fix_orphans=True))
+    joined = staged(joined, "joined", by="state")
+    gained = view.filter("o_orderkey > 10000000 AND o_orderkey % 4 = 0").select(*KEYS)
+    deletes = staged(fix.delete_plan(joined, base.select(*KEYS).unionByName(gained)), "deletes")
+    refused = r.keyed(mutated(fix.upsert_plan(joined), r, _refuse, "shop")).unionByName(r.keyed(mutated(deletes, r, _refuse, "shop")))
+    failed = r.flat(refused.groupBy("key").agg(F.min("error").alias("error")))
+    return fix, joined, staged(fix.outcomes(joined, deletes, failed), "outcomes")
+
+
+@_query(_JOINED + _APPLIED + _COUNTS)
+def applied_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All fifteen counters, from what a writer did and refused."""
+    return job_stats(_applied(spark, sf_dir)[2])
+
+
+@_query(_JOINED + _APPLIED + "SELECT o_custkey, o_orderkey, state, action, coalesce(outcome, 'none') AS outcome FROM o")
+def applied_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fix, _, outcomes = _applied(spark, sf_dir)
+    return fix.r.flat(outcomes).select(*KEYS, "state", "action", F.coalesce("outcome", F.lit("none")).alias("outcome"))
+
+
+@_query(_JOINED + _APPLIED + """SELECT state AS category, count(*) AS blocks FROM o WHERE state NOT IN ('SKIPPED', 'CONSISTENT') GROUP BY state
+UNION ALL SELECT CASE outcome WHEN 'DELETE_ERROR' THEN 'ERR_DELETING' ELSE 'ERR_UPSERTING' END, count(*) FROM o WHERE outcome IN ('DELETE_ERROR', 'UPSERT_ERROR') GROUP BY ALL""")
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings and errors as text files, a folder for each category, read back."""
+    fix, joined, outcomes = _applied(spark, sf_dir)
+    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    report.text_sink(report.routed(report.blocks(fix.r.found(joined), fix.r), outcomes), path)
+    return spark.read.text(path).groupBy("category").agg(F.count_if(F.col("value") == report.RULE).alias("blocks"))
+
+
+def _run(spark: SparkSession, sf_dir: str, sink: report.Sink = report.text_sink) -> tuple[str, str, DataFrame]:
+    """A run from settings over both tables as files, beside one that the read options leave out: its folder, line and view."""
+    root = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    base, view = drift(spark, sf_dir)
+    for name, df in (("orders", base), ("orders_by_customer", view)):
+        df.write.parquet(f"{root}/{name}")
+        df.limit(5).write.mode("append").option("compression", "gzip").parquet(f"{root}/{name}")
+    r = reconciler(base, view)
+    given = {
+        "start_seconds": str(START), "end_seconds": str(END), "base_table": f"{root}/orders", "view_table": f"{root}/orders_by_customer", "fix_missing": "true", "fix_orphans": "true", "fix_inconsistent": "true",
+        "read_options": "pathGlobFilter=*.snappy.parquet", "repaired_table": f"{root}/repaired", "output_dir": f"{root}/out",
+    }
+    times = {c.name: c.write_time for c in r.base.cells if c.write_time}, {c.name: c.write_time for c in r.view.cells if c.write_time}
+    ttl = {"o_totalprice": "price_ttl"}
+    run = Run(Settings.from_mapping({f"viewrecon.{k}": v for k, v in given.items()}), KEYS, {"keys": ("o_orderkey",), "write_time": times[0], "ttl": ttl}, {"write_time": times[1], "ttl": ttl})
+    line, _ = run(spark, sink)
+    return root, line, spark.read.parquet(f"{root}/repaired")
+
+
+@_query(_JOINED + _OUTCOMES + f"""SELECT concat_ws(', ', {", ".join(f"'{name}: ' || " + chr(34) + name + chr(34) for name in COUNTERS)}) AS line FROM ({_COUNTS})""")
+def whole_run_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, line, _ = _run(spark, sf_dir)
+    written = spark.read.text(f"{root}/out/stats")
+    return written.filter(F.col("value") == line).select(F.col("value").alias("line"))
+
+
+@_query(_JOINED + _OUTCOMES + _COUNTS)
+def whole_run_statistics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _, _ = _run(spark, sf_dir)
+    return spark.read.schema(", ".join(f"{name} long" for name in COUNTERS)).json(f"{root}/out/stats-json")
+
+
+@_query(_JOINED + _REPAIRED + "SELECT * FROM x")
+def whole_run_repaired_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, repaired = _run(spark, sf_dir)
+    return repaired.select(*KEYS, "o_orderpriority", "o_orderstatus", "o_totalprice", F.col("`writetime(o_totalprice)`").alias("price_written"))
+
+
+@_query(_JOINED + "SELECT state AS category, count(*) AS blocks FROM p WHERE state NOT IN ('SKIPPED', 'CONSISTENT') GROUP BY state")
+def custom_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink of the user's in place of the text files."""
+    root, _, _ = _run(spark, sf_dir, lambda rows, path: rows.write.parquet(f"{path}-of-mine"))
+    return spark.read.parquet(f"{root}/out/findings-of-mine").groupBy("category").agg(F.count("*").alias("blocks"))
+
+
+@_query(_JOINED + "SELECT o_custkey, o_orderkey, state FROM j WHERE o_orderkey % 10 = 0")
+def changed_key_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of changed keys, labelled batch by batch against fresh reads."""
+    from viewrecon.streaming.batches import reconcile_changes
+
+    base, view = drift(spark, sf_dir)
+    r = reconciler(base, view)
+    root = f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}"
+    keys = base.select(*KEYS).unionByName(view.select(*KEYS)).filter("o_orderkey % 10 = 0")
+    keys.write.parquet(f"{root}/in")
+    changes = spark.readStream.schema(keys.schema).parquet(f"{root}/in")
+    query = reconcile_changes(changes, r, lambda: base, lambda: view, lambda labels, batch: labels.write.mode("overwrite").parquet(f"{root}/out/{batch}"), f"{root}/checkpoint")
+    query.awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").schema(r.labels(base, view).schema).parquet(f"{root}/out")
+
+
+# Schemas
+
+
+@_query("""SELECT * FROM (VALUES ('o_orderkey', 'key', 'BIGINT', 'none'), ('o_custkey', 'cell', 'BIGINT', 'wt'), ('o_orderpriority', 'cell', 'TEXT', 'wt'), ('o_orderstatus', 'cell', 'TEXT', 'wt'), ('o_tags', 'cell', 'LIST', 'none'), ('o_totalprice', 'cell', 'DOUBLE', 'wt')) AS t(name, part, kind, written)""")
+def schema_of_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and cells as they are found in the table; metadata columns are neither."""
+    base, view = drift(spark, sf_dir)
+    spec = reconciler(base, view).base
+    rows = [(c.name, part, c.kind, c.write_time or "none") for part, cells in (("key", spec.keys), ("cell", spec.cells)) for c in cells]
+    return spark.createDataFrame(rows, "name string, part string, kind string, written string")
+
+
+@_query("""SELECT * FROM (VALUES ('o_orderpriority'), ('o_tags'), ('o_totalprice')) AS t(name)""")
+def columns_in_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with equal type and kind: a status held as bytes and a key are not."""
+    base, view = drift(spark, sf_dir)
+    meta = {"write_time": "wt", "ttl": "price_ttl"}
+    other = TableSpec.of(view.withColumn("o_orderstatus", F.col("o_orderstatus").cast("binary")), KEYS, **meta)
+    return spark.createDataFrame([(c,) for c in common_cells(TableSpec.of(base, ("o_orderkey",), **meta), other)], "name string")
+
+
+@_query("""SELECT * FROM (VALUES (true, 'repair can''t write pair (TUPLE) of view'), (false, 'none')) AS t(writes, error)""")
+def type_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A kind that can't be written stops a repair that writes cells, and no other."""
+    _, view = drift(spark, sf_dir)
+    spec = TableSpec.of(view.withColumn("pair", F.struct("o_orderkey", "o_custkey")), KEYS, "view")
+
+    def error(writes: bool) -> str:
+        try:
+            check_repairable(spec, writes, writes)
+        except ValueError as e:
+            return str(e)
+        return "none"
+
+    return spark.createDataFrame([(w, error(w)) for w in (True, False)], "writes boolean, error string")
+
+
+_compare("compare_struct", "struct(o_orderkey % 3 AS a, CASE WHEN o_orderkey % 2 = 0 THEN 1 END AS b)", "struct(o_orderkey % 6 AS a, CASE WHEN o_orderkey % 4 = 0 THEN 1 END AS b)", "(o_orderkey % 3) IS DISTINCT FROM (o_orderkey % 6) OR (o_orderkey % 2 = 0) <> (o_orderkey % 4 = 0)")
+_compare("compare_timestamp", "o_orderdate", "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate + make_interval(0, 0, 0, 0, 0, 0, o_orderkey % 2) END", "o_orderkey % 5 = 0 OR o_orderkey % 2 = 1")
+_compare("compare_nested", "array(map('x', array(o_orderkey % 3)), map('y', array(1)))", "array(map('x', array(o_orderkey % 2)), map('y', array(1)))", "(o_orderkey % 3) <> (o_orderkey % 2)")
+
+
+@_query("""SELECT o_orderkey, '{a=' || (o_orderkey % 3) || ', b=7}' AS m, CASE o_orderkey % 3 WHEN 0 THEN '[0, 2]' WHEN 1 THEN '[1, 2]' ELSE '[2]' END AS s FROM orders""")
+def collection_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps by key; sets in order and without repeats."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "map('b', 7L, 'a', o_orderkey % 3) AS m", "array(2L, o_orderkey % 3, 2L) AS s")
+    kinds = {"m": "MAP", "s": "SET"}
+    return rows.select("o_orderkey", *(rendered(F.col(f.name), f.dataType, kinds[f.name]).alias(f.name) for f in rows.schema.fields[1:]))
+
+
+@_query(_JOINED + _UPSERTS + """SELECT "column", CASE WHEN ttl IS NULL THEN 'NO_TIMESTAMP_TTL' ELSE 'TTL' END AS flavor, count(*) AS writes FROM w GROUP BY ALL""")
+def latest_timestamp_flavors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes that take the time of the write carry no timestamp."""
+    base, view = drift(spark, sf_dir)
+    r = reconciler(base, view)
+    fix = Repairer(r, Settings(START, END, fix_missing=True, fix_orphans=True, fix_inconsistent=True, use_latest_timestamp=True))
+    return fix.upsert_plan(r.joined(base, view)).groupBy("column", "flavor").agg(F.count("*").alias("writes"))

@@ -12,7 +12,7 @@ PREFIXES = ("viewrecon.", "spark.viewrecon.")
 
 @dataclass(frozen=True)
 class Settings:
-    """Scope bounds are inclusive seconds; the defaults leave out every record with a positive write time."""
+    """``repaired_table``: a path or table that takes the repaired view. Scope bounds are inclusive seconds; the defaults leave out every record with a positive write time."""
 
     start_seconds: int = -1
     end_seconds: int = -1
@@ -27,6 +27,7 @@ class Settings:
     mutations_per_second: int = 0
     read_options: str = ""
     write_options: str = ""
+    repaired_table: str | None = None
     output_dir: str = "viewrecon-report"
 
     @classmethod
