@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import ODD, linked, odd_docs, shingles
+from pyspark.sql import functions as F
 
 from viewrecon.llm import near_dedup as n
 from viewrecon.llm.components import components
@@ -27,8 +29,8 @@ def brute(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-def compare(spark, rows):
-    got = n.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+def compare(spark, rows, **how):
+    got = n.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()
     assert len(got) == len(rows)
     want = brute(rows)
     for r in got:
@@ -59,6 +61,40 @@ def test_groups_of_all_kinds(spark):
     compare(spark, rows)
 
 
+def crowd(rng, pairs):
+    """Pairs of 0.75 to 0.80 similarity, all of which hold one passage, so that nodes are large and branch on."""
+    passage, rows = words(rng, 70), []
+    for i in range(pairs):
+        w = passage + words(rng, 134)
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[: 204 - (39 + i % 12)]))]
+    return rows
+
+
+@pytest.mark.parametrize("how", [{}, {"levels": 1}, {"sift": 0}], ids=str)
+def test_recall_near_the_threshold(spark, how):
+    rows = crowd(random.Random(9), 150)
+    want = brute(rows)
+    got = {r.doc_id: r.component_id for r in n.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()}
+    linked_pairs = [i for i in range(150) if want[2 * i + 1][1] == 2 * i]
+    assert len(linked_pairs) > 100 and all(got[i] in (i, want[i][1]) for i in got)
+    assert sum(got[2 * i + 1] == 2 * i for i in linked_pairs) >= 0.99 * len(linked_pairs)
+
+
+def test_first_choices_differ(spark):
+    chosen = [j for t in range(1, n.TREES + 1) for j in spark.range(1).select(n._children(F.lit(t).cast("long"), 0)).first()[0]]
+    assert len(chosen) == len(set(chosen)) == n.TREES + n.TREES // 3
+    below = {level: {j for r in spark.range(200).select(n._children(F.xxhash64("id"), level).alias("c")).collect() for j in r.c} for level in range(1, 7)}
+    assert all(len(below[a]) == n.CHOICE and not below[a] & (below[b] | set(chosen)) for a in below for b in below if a != b)
+
+
+def test_the_session_keeps_its_setting(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "4321")
+    n.near_duplicates(odd_docs(spark).limit(0)).count()
+    assert spark.conf.get(name) == "4321"
+    spark.conf.unset(name)
+
+
 def test_real_table(spark, sf_dir):
     compare(spark, [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()])
 

@@ -12,8 +12,8 @@ all. A node that is mostly one component would hardly shrink: up to FEW classes
 the node exactly, in blocks where intersections are counted for all pairs at once and only links come out; nodes
 of a level that have the component's pivot in common, one for each chosen coordinate at most, are one such
 group. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
-level. From level DEEP on, where few are left, a node of one block is compared as such, and should one be
-large after LEVELS levels still, it is compared in blocks, too.
+level. As soon as all nodes that are open can be compared in blocks at the cost of moving each text once, on
+average, that is done and ends the matter; so is what is left after LEVELS levels.
 
 Rows that have a key in common meet in one task only in bounded numbers: keys of many rows are broadcast to
 them, and a node of more than NODE classes is dealt into parts with a pivot each.
@@ -41,8 +41,6 @@ from viewrecon.llm.shingles import _mix, shingle_sets
 PERCENT = 75
 #: Minwise coordinates; trees; levels before what is left is compared in blocks; classes of a node that are compared exhaustively.
 COORDINATES, TREES, LEVELS, LEAF = 64, 16, 40, 12
-#: Levels, the first being 0, after which nodes of one block don't branch on.
-DEEP = 2
 #: Coordinates that the trees choose from on one of the levels below the first.
 CHOICE = 7
 #: Classes of a node's part, at most about; classes outside its largest component that a node compares in blocks, at most.
@@ -138,26 +136,37 @@ def _pairs_and_rest(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     return found, large.select("path", "id")
 
 
-def _open(large: DataFrame, links: DataFrame) -> DataFrame:
-    """large: (path, id) of large nodes. Those that aren't one component yet, as (path, id, root, most, n_out): the root of the node's largest component and how many are outside."""
+def _open(large: DataFrame, links: DataFrame, most_texts: int, last: bool) -> dict[str, DataFrame]:
+    """large: (path, id) of large nodes. Those that aren't one component yet, by what is done with them, as (path, id, root, most,
+    size, n_out): the root of the node's largest component, its classes and how many are outside that.
+
+    All are compared in blocks if that moves no more than ``most_texts`` and compares each of as many with FEW others at most.
+    """
     known = stage(_rooted(large, links), "known")
     of_root = known.groupBy("path", "root").agg(F.count("*").alias("n"))
     nodes = of_root.groupBy("path").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
     nodes = stage(nodes.select("path", "size", F.col("most.root").alias("most"), (F.col("size") - F.col("most.n")).alias("n_out")), "open_nodes")
-    return stage(join_counted(known, nodes, ["path"], "size"), "open")
-
-
-def _few(open_: DataFrame) -> DataFrame:
-    """(a, b) across roots of the nodes with up to LEAF classes outside their largest component: those and all others."""
-    few = open_.filter(F.col("n_out") <= LEAF)
+    moved = F.col("size") * F.ceil(F.col("n_out") / BLOCK) + F.col("n_out") * F.ceil(F.col("size") / BLOCK)
+    dense = (F.col("n_out") <= FEW) & (2 * F.col("n_out") <= F.col("size"))
+    way = F.when(F.col("n_out") <= LEAF, "few").when(dense, "dense").otherwise("block" if last else "branch")
+    sums = nodes.agg(F.sum(moved).alias("texts"), F.sum(F.col("size").cast("double") * F.col("n_out")).alias("pairs"), F.collect_set(way).alias("ways")).first()
+    if not sums.ways:
+        return {}
+    if sums.texts <= most_texts and sums.pairs <= FEW * most_texts:
+        return {"block": join_counted(known, nodes, ["path"], "size")}
+    open_ = stage(join_counted(known, nodes, ["path"], "size").withColumn("way", way), "open")
+    return {w: open_.filter(F.col("way") == w).drop("way") for w in sums.ways}
+
+
+def _few(few: DataFrame) -> DataFrame:
+    """(a, b) across roots of nodes with up to LEAF classes outside their largest component: those and all others."""
     outside = few.filter("root <> most").groupBy("path").agg(F.collect_list(F.struct("id", "root")).alias("outside"), F.first("size").alias("n"))
     met = join_counted(few, stage(outside, "outside"), ["path"], "n").select("id", "root", F.explode("outside").alias("x"))
     return met.filter("root <> x.root").select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
 
 
-def _dense(open_: DataFrame) -> DataFrame:
-    """The groups of nodes of which one component is half at least, like ``open_``, with the pivot's id in place of the path."""
-    some = open_.filter((F.col("n_out") > LEAF) & (F.col("n_out") <= FEW) & (2 * F.col("n_out") <= F.col("size")))
+def _dense(some: DataFrame) -> DataFrame:
+    """Groups of nodes of which one component is half at least, with the pivot's id in place of the path."""
     pivots = some.filter("root = most").groupBy("path").agg(F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("pivot"), F.first("size").alias("n"))
     met = join_counted(some.select("path", "id", "root", "most"), stage(pivots, "pivots"), ["path"], "n")
     groups = stage(met.select("pivot", "id", "root", "most").distinct(), "groups")
@@ -302,7 +311,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _in_blocks(docs: DataFrame, open_: DataFrame) -> DataFrame:
-    """Links (u, v) across components inside each node of ``open_``, exactly: the classes outside its largest component meet
+    """Links (u, v) across components inside each node, exactly: the classes outside its largest component meet
     all of its classes, in blocks that each are one group of rows. Texts move, pairs don't."""
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     sized = open_.withColumn("blocks", blocks("size")).withColumn("out_blocks", blocks("n_out"))
@@ -320,30 +329,22 @@ def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tup
     signed = stage(signatures(docs), "signatures")
     usable = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = stage(usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs"), F.first("sig").alias("sig"), F.first("low").alias("low")), "classes")
-    kind = classes.schema["id"].dataType.simpleString()
+    kind, n_classes = classes.schema["id"].dataType.simpleString(), classes.count()
     links = docs.sparkSession.createDataFrame([], f"u {kind}, v {kind}")
     trees = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(TREES).cast("long")))
     rows, more = _branch(classes.select(trees.alias("path"), "id", F.col("id").alias("root"), "sig"), 0), None
     for level in range(levels):
         pairs, large = _pairs_and_rest(rows, level)
         links = _linked(pairs if more is None else pairs.union(more), docs, classes, links, sift)
-        open_ = _open(large, links)
-        if open_.isEmpty():
-            break
-        more, dense = _few(open_), _dense(open_)
-        rest = open_.filter((F.col("n_out") > FEW) | (F.col("n_out") > LEAF) & (2 * F.col("n_out") > F.col("size")))
-        last, groups = level == levels - 1, [dense]
-        if level >= DEEP or last:
-            small = F.lit(True) if last else F.col("size") <= BLOCK
-            groups.append(rest.filter(small))
-            rest = rest.filter(~small)
-        for group in groups:
-            if not group.isEmpty():
-                links = components(stage(_in_blocks(docs, group), "block_links").union(links))
-        if rest.isEmpty():
-            links = _linked(more, docs, classes, links, sift)
+        ways = _open(large, links, n_classes, level == levels - 1)
+        for way, group in (("dense", _dense), ("block", lambda nodes: nodes)):
+            if way in ways:
+                links = components(stage(_in_blocks(docs, group(ways[way])), "block_links").union(links))
+        more = _few(ways["few"]) if "few" in ways else None
+        if "branch" not in ways:
+            links = links if more is None else _linked(more, docs, classes, links, sift)
             break
-        rows = _branch(_signed(rest.select("path", "id", "root"), classes), level + 1)
+        rows = _branch(_signed(ways["branch"].select("path", "id", "root"), classes), level + 1)
     return signed, _rooted(classes.select("n", "f1", "f2", "docs", "id"), links).select("n", "f1", "f2", "docs", "root")
 
 
