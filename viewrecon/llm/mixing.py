@@ -136,3 +136,20 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     plan = planned_rows(plan_mix(docs))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "rate", "copies")
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of the mix: sizes and targets, in whole words."""
+    return op2_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target").cast("long").alias("target_words"))
+
+
+TARGETS_SQL = f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [{", ".join(map(str, WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight FROM d GROUP BY source),
+r AS (SELECT *, {CAP} * source_size / weight AS reach, sum(source_size) OVER () AS total,
+             coalesce(sum({CAP} * source_size) OVER (ORDER BY {CAP} * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+             sum(weight) OVER (ORDER BY {CAP} * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weighs FROM s),
+l AS (SELECT max((total - spent) / weighs) AS level FROM r WHERE (total - spent) / weighs <= reach)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, CAST(round(least({CAP} * source_size, weight * level)) AS BIGINT) AS target_words
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source, l
+"""

@@ -69,6 +69,16 @@ def write_shards(df: DataFrame, path: str, key: str = "doc_id", shards: Sequence
     placed.repartition("shard", F.col("slot") % 8).drop("slot").write.partitionBy("shard").parquet(path)
 
 
+def op4_sql(shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> str:
+    """The same placement in DuckDB's SQL, the filled table a list."""
+    filled = ",".join(str(i) for i in fill_table(shards, slots))
+    names = ",".join(f"'{s}'" for s in shards)
+    digest = "substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)"
+    return f"""WITH f AS (SELECT [{filled}] AS filled, [{names}] AS shards),
+d AS (SELECT doc_id, CAST(CAST('0x' || {digest} AS BIGINT) % {slots} AS INTEGER) AS slot FROM documents)
+SELECT doc_id, slot, shards[filled[slot + 1] + 1] AS shard FROM d, f"""
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
     return place(docs).select("doc_id", "slot", "shard")
