@@ -2,11 +2,20 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which
 is written as Parquet and read again as the next one's ``docs``. A stage works on all that its predecessor
-kept. All but the last return the columns of ``documents``; the last returns ids and offsets in place of text, and the digest
-of what the ids decode to, which must be the text.
+kept. All but the last return the columns of ``documents``, whatever else those are called; the last returns
+ids and offsets in place of text, and the digest of what the ids decode to, which must be the text.
 
 A stage's result is lazy and reads tables that the stage wrote to the shared folder; these go when the next
 stage begins, so write a result before calling the next stage, as ``run`` does.
+
+Defined results: an empty table passes through all stages as one. Null, empty and word-free texts fail the base
+rules and go in the first stage. A null ``doc_id`` is a document of its own: rows that have one are judged, lose
+lines that others share, and never count as near duplicates. Rows that repeat a ``doc_id`` lose the same lines,
+and one of them is left by near dedup. A null source is a source. Texts of any length are read whole. Ties are
+settled by the smallest ``doc_id`` (near dedup), the largest (line dedup) and hashes of it (mixing). Columns
+beside those of ``documents`` pass through all stages, whatever they are called, but for those that the last
+stage returns: ``ids``, ``offsets``, ``decoded_sha256`` and ``n_tokens``, which replace their namesakes, and
+``n_chars``, which line dedup keeps up to date.
 """
 
 from __future__ import annotations
