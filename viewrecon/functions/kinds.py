@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Kinds that automated repair may write.
-REPAIRABLE = frozenset("UUID INT INET LIST TIMEUUID VARINT BIGINT BOOLEAN ASCII DATE BLOB FLOAT SET SMALLINT TIMESTAMP MAP TINYINT TEXT TIME DOUBLE DECIMAL".split())
+REPAIRABLE = frozenset((
+    "UUID", "INT", "INET", "LIST", "TIMEUUID", "VARINT", "BIGINT", "BOOLEAN", "ASCII", "DATE", "BLOB", "FLOAT", "SET", "SMALLINT", "TIMESTAMP", "MAP", "TINYINT", "TEXT", "TIME", "DOUBLE", "DECIMAL",
+))
 #: Kinds whose cells carry no write time and no time to live.
 COLLECTIONS = frozenset(("LIST", "SET", "MAP"))
 #: Kinds that a Spark type may stand for, the first by default.
