@@ -63,3 +63,15 @@ def test_few_labels_and_odd_rows(spark):
     assert b.Network().fit(as_bytes(["a"]), np.ones(1)).scores(as_bytes(["a", ""])).tolist() == [1, 1]
     docs = odd_docs(spark)
     assert b.score(docs, b.Network()).count() == len(ODD) and b.score(docs.limit(0), b.Network()).count() == 0
+
+
+def test_odd_rows_score_as_stated(spark):
+    """Null scores like empty, repeated rows alike, a very long text whole; columns beside are not read."""
+    docs = odd_docs(spark).selectExpr("*", "1 AS score", "2 AS held_out", "'x' AS predicted", "3 AS label")
+    out = b.score(docs, b.Network(5))
+    assert out.columns == ["doc_id", "score"]
+    found = {}
+    for r in out.collect():
+        found.setdefault(r.doc_id, set()).add(r.score)
+    assert len(found) == len({i for i, _ in ODD}) and all(len(s) == 1 for s in found.values())
+    assert found[1] == found[2] and all(0 <= min(s) <= 1 for s in found.values())

@@ -109,3 +109,15 @@ def test_odd_rows(spark):
     scorer = t.Scorer([("bad bad worse", 1), ("good", 0)] * 20)
     assert t.score(docs, scorer).count() == len(ODD)
     assert t.score(docs.limit(0), scorer).count() == 0
+
+
+def test_odd_rows_score_as_stated(spark):
+    """Null scores like empty, repeated rows alike, a very long text whole; columns beside are not read."""
+    docs = odd_docs(spark).selectExpr("*", "1 AS score", "2 AS held_out", "'x' AS predicted", "3 AS label")
+    out = t.score(docs, t.Scorer([("bad bad worse", 1), ("good", 0)] * 20))
+    assert out.columns == ["doc_id", "score"]
+    found = {}
+    for r in out.collect():
+        found.setdefault(r.doc_id, set()).add(r.score)
+    assert len(found) == len({i for i, _ in ODD}) and all(len(s) == 1 for s in found.values())
+    assert found[1] == found[2] and all(0 <= min(s) <= 1 for s in found.values())
