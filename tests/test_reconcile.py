@@ -16,7 +16,7 @@ from viewrecon.operators.stats import identities_hold, job_stats, stats_line
 from viewrecon.plans.job import Run
 from viewrecon.plans.schema import TableSpec, common_cells
 from viewrecon.plans.settings import Settings
-from viewrecon.sources.staging import shared_folder, staged
+from viewrecon.sources.staging import release, shared_folder, staged, staged_path
 from viewrecon.sources.tables import read_table
 
 T1, T2 = 1704067200000000, 1704153600000000
@@ -345,3 +345,12 @@ def test_plan_is_one_join_without_python(spark):
     b, v = tables(spark)
     plan = reconciler(b, v).labels(b, v)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join FullOuter") == 1 and "Python" not in plan
+
+
+def test_release_deletes_what_was_staged(spark):
+    path = staged_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    release(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from viewrecon.plans.fixtures import END, KEYS, START, ctes, drift, reconciler,
 from viewrecon.plans.job import Run
 from viewrecon.plans.schema import TableSpec, check_repairable, common_cells
 from viewrecon.plans.settings import Settings
-from viewrecon.sources.staging import shared_folder, staged
+from viewrecon.sources.staging import staged, staged_path
 from viewrecon.sources.tables import key_of, present_in, scan, throttled
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -389,17 +388,17 @@ UNION ALL SELECT CASE outcome WHEN 'DELETE_ERROR' THEN 'ERR_DELETING' ELSE 'ERR_
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings and errors as text files, a folder for each category, read back."""
     fix, joined, outcomes = _applied(spark, sf_dir)
-    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    path = staged_path(spark, "report")
     report.text_sink(report.routed(report.blocks(fix.r.found(joined), fix.r), outcomes), path)
     return spark.read.text(path).groupBy("category").agg(F.count_if(F.col("value") == report.RULE).alias("blocks"))
 
 
 def _run(spark: SparkSession, sf_dir: str, sink: report.Sink = report.text_sink) -> tuple[str, str, DataFrame]:
     """A run from settings over both tables as files, beside one that the read options leave out: its folder, line and view."""
-    root = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    root = staged_path(spark, "run")
     base, view = drift(spark, sf_dir)
     for name, df in (("orders", base), ("orders_by_customer", view)):
-        df.write.parquet(f"{root}/{name}")
+        df.write.option("compression", "snappy").parquet(f"{root}/{name}")
         df.limit(5).write.mode("append").option("compression", "gzip").parquet(f"{root}/{name}")
     r = reconciler(base, view)
     given = {
@@ -446,7 +445,7 @@ def changed_key_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base, view = drift(spark, sf_dir)
     r = reconciler(base, view)
-    root = f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}"
+    root = staged_path(spark, "changes")
     keys = base.select(*KEYS).unionByName(view.select(*KEYS)).filter("o_orderkey % 10 = 0")
     keys.write.parquet(f"{root}/in")
     changes = spark.readStream.schema(keys.schema).parquet(f"{root}/in")

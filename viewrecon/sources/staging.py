@@ -20,9 +20,14 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path for what this session stages."""
+    return f"{shared_folder(spark)}/viewrecon-staged/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df``, written once and read back; ``by``: a column whose values become folders, so that a filter on it reads only some."""
-    path = f"{shared_folder(df.sparkSession)}/viewrecon-staged/{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = staged_path(df.sparkSession, name)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
