@@ -12,7 +12,7 @@ all. A node that is mostly one component would hardly shrink: up to FEW classes
 the node exactly, in blocks where intersections are counted for all pairs at once and only links come out; nodes
 of a level that have the component's pivot in common, one for each chosen coordinate at most, are one such
 group. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
-level. As soon as all nodes that are open can be compared in blocks at the cost of moving each text once, on
+level. As soon as all nodes that are open can be compared in blocks at the cost of moving each text four times, on
 average, that is done and ends the matter; so is what is left after LEVELS levels.
 
 Rows that have a key in common meet in one task only in bounded numbers: keys of many rows are broadcast to
@@ -140,7 +140,7 @@ def _open(large: DataFrame, links: DataFrame, most_texts: int, last: bool) -> di
     """large: (path, id) of large nodes. Those that aren't one component yet, by what is done with them, as (path, id, root, most,
     size, n_out): the root of the node's largest component, its classes and how many are outside that.
 
-    All are compared in blocks if that moves no more than ``most_texts`` and compares each of as many with FEW others at most.
+    All are compared in blocks if that moves no more than four times ``most_texts`` and compares each of as many with FEW others at most.
     """
     known = stage(_rooted(large, links), "known")
     of_root = known.groupBy("path", "root").agg(F.count("*").alias("n"))
@@ -152,7 +152,7 @@ def _open(large: DataFrame, links: DataFrame, most_texts: int, last: bool) -> di
     sums = nodes.agg(F.sum(moved).alias("texts"), F.sum(F.col("size").cast("double") * F.col("n_out")).alias("pairs"), F.collect_set(way).alias("ways")).first()
     if not sums.ways:
         return {}
-    if sums.texts <= most_texts and sums.pairs <= FEW * most_texts:
+    if sums.texts <= 4 * most_texts and sums.pairs <= FEW * most_texts:
         return {"block": join_counted(known, nodes, ["path"], "size")}
     open_ = stage(join_counted(known, nodes, ["path"], "size").withColumn("way", way), "open")
     return {w: open_.filter(F.col("way") == w).drop("way") for w in sums.ways}
@@ -237,11 +237,16 @@ def _across(pairs: DataFrame, links: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, links, "a", "root_a"), links, "b", "root_b").filter("root_a <> root_b").select("a", "b")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, links: DataFrame, sift: int) -> DataFrame:
-    """``links`` and those among ``pairs`` that are similar enough: (u, v) with v the first class of u's component."""
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, links: DataFrame, sift: int, first_level: bool = False) -> DataFrame:
+    """``links`` and those among ``pairs`` that are similar enough: (u, v) with v the first class of u's component.
+
+    On the first level, where whole groups meet, at most one pair for each class is confirmed before the others.
+    """
     sifted = stage(_sifted(pairs.distinct(), classes, sift), "pairs")
     if sifted.isEmpty():
         return links
+    if not first_level:
+        return components(_confirmed(sifted.select("a", "b"), _texts_of(docs, sifted)).union(links))
     texts = stage(_texts_of(docs, sifted), "texts")
     best = F.min(F.struct((-F.least("same", F.lit(SURE))).alias("k"), F.xxhash64("a").alias("o"), F.col("a").alias("a")))
     first = stage(sifted.groupBy("b").agg(best["a"].alias("a")).select("a", "b"), "first_pairs")
@@ -335,7 +340,7 @@ def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tup
     rows, more = _branch(classes.select(trees.alias("path"), "id", F.col("id").alias("root"), "sig"), 0), None
     for level in range(levels):
         pairs, large = _pairs_and_rest(rows, level)
-        links = _linked(pairs if more is None else pairs.union(more), docs, classes, links, sift)
+        links = _linked(pairs if more is None else pairs.union(more), docs, classes, links, sift, level == 0)
         ways = _open(large, links, n_classes, level == levels - 1)
         for way, group in (("dense", _dense), ("block", lambda nodes: nodes)):
             if way in ways:
