@@ -14,6 +14,7 @@ class Boosted:
         self.classes, self.rounds, self.depth, self.rate, self.ridge, self.least, self.share, self.seed = classes, rounds, depth, rate, ridge, least, share, seed
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
+        x = np.ascontiguousarray(x)
         quantiles = np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], axis=0)
         self.cuts = [np.unique(quantiles[:, f]) for f in range(x.shape[1])]
         binned = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(self.cuts)], axis=1).astype(np.int64)
@@ -59,17 +60,20 @@ class Boosted:
         return self
 
     def _leaf(self, r: int, c: int, x: np.ndarray) -> np.ndarray:
-        """The leaf of tree (r, c) that each row comes to."""
-        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        """The leaf of tree (r, c) that each row comes to. x: in C order."""
+        flat, begins = x.ravel(), np.arange(len(x)) * x.shape[1]
+        feature, cut = self.feature[r, c], self.cut[r, c]
+        node = np.zeros(len(x), np.int64)
         for level in range(self.depth):
-            at = 2**level - 1 + node
-            node = 2 * node + (x[rows, self.feature[r, c, at]] > self.cut[r, c, at])
+            at = node + (2**level - 1)
+            node = 2 * node + (flat.take(begins + feature.take(at)) > cut.take(at))
         return node
 
     def log_probabilities(self, x: np.ndarray) -> np.ndarray:
+        x = np.ascontiguousarray(x)
         total = np.tile(self.prior, (len(x), 1))
         for r in range(self.rounds):
             for c in range(self.classes):
-                total[:, c] += self.value[r, c][self._leaf(r, c, x)]
+                total[:, c] += self.value[r, c].take(self._leaf(r, c, x))
         total -= total.max(axis=1, keepdims=True)
         return total - np.log(np.exp(total).sum(axis=1, keepdims=True))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import lru_cache
 from html import unescape
 
@@ -98,9 +98,9 @@ class Page:
             if m[1]:
                 if name == "p" and not places.get("p"):
                     self.pieces.append((-1, "", False))
-                k = top((name,))
-                if k and (k >= top(_CELLS) or name in _OUTER):
-                    pop_to(k)
+                if at_name := places.get(name):
+                    if stack[-1][0] == name or name in _OUTER or at_name[-1] >= top(_CELLS):
+                        pop_to(at_name[-1])
                 continue
             if name in RAW:
                 if not m[3].endswith("/"):
@@ -118,8 +118,8 @@ class Page:
                     self.pieces.append((-1, "", False))
                 continue
             if name not in INLINE:
-                if k := top(("p",)):
-                    pop_to(k)
+                if at_name := places.get("p"):
+                    pop_to(at_name[-1])
                 if name in CLOSES:
                     while (k := top(CLOSES[name])) > top(_SCOPE[name]):
                         pop_to(k)
@@ -161,100 +161,115 @@ class Page:
         self.pieces = out
 
     def features(self, weights: Mapping[str, float]) -> np.ndarray:
-        """One row for each node but the root; see NAMES. weights: what a name, or a tag in angle brackets, says for being left out."""
-        n = len(self.tag)
-        own, linked, marks, words, before, seen = [0] * n, [0] * n, [0] * n, [0] * n, [-1] * n, 0
-        for node, text, link in self.pieces:
-            if node < 0:
-                continue
-            size = len(text.strip())
-            if not size:
+        """One row for each node but the root; see NAMES."""
+        return features([self], weights)[0]
+
+
+def features(pages: Sequence[Page], weights: Mapping[str, float]) -> list[np.ndarray]:
+    """For each page a row for each of its nodes but the root; see NAMES. Whole arrays hold the nodes of all pages together.
+
+    weights: what a name, or a tag in angle brackets, says for being left out. Sets ``chars`` and ``order`` of the pages.
+    """
+    if not pages:
+        return []
+    begins = np.cumsum([0, *(len(p.tag) for p in pages)]).tolist()
+    n = begins[-1]
+    own, linked, marks, words, before = [0] * n, [0] * n, [0] * n, [0] * n, [-1] * n
+    below, depth, place, kids = [1] * n, [0] * n, [0] * n, [0] * n
+    at, free, parent = list(range(n)), list(range(1, n + 1)), [-1] * n
+    known: dict[tuple[str, tuple[str, ...]], tuple[float, ...]] = {}
+    name, path = [(0.0,) * 6] * n, [(0.0, 0.0, 0.0)] * n
+    for page, begin in zip(pages, begins, strict=False):
+        seen = 0
+        for node, text, link in page.pieces:
+            if node < 0 or not (size := len(text.strip())):
                 continue
-            if before[node] < 0:
-                before[node] = seen
-            own[node] += size
-            linked[node] += size * link
-            marks[node] += len(_PUNCTUATION.findall(text))
-            words[node] += text.count(" ") + 1
+            k = node + begin
+            if before[k] < 0:
+                before[k] = seen
+            own[k] += size
+            if link:
+                linked[k] += size
+            marks[k] += len(_PUNCTUATION.findall(text))
+            words[k] += text.count(" ") + 1
             seen += size
-        parent = self.parent
-        below, kids, depth, place = [1] * n, [0] * n, [0] * n, [0] * n
-        self.order = order = [[] for _ in range(n)]
-        known: dict[tuple[str, tuple[str, ...]], tuple[float, ...]] = {}
-        name, path = np.zeros((n, 6)), [(0.0, 0.0, 0.0)] * n
-        for k in range(1, n):
-            p = parent[k]
+        page.order = order = [[] for _ in page.tag]
+        for i in range(1, len(page.tag)):
+            up, k = page.parent[i], begin + i
+            p = parent[k] = begin + up
             depth[k] = depth[p] + 1
-            place[k] = len(order[p])
-            order[p].append(k)
-            look = (self.tag[k], self.names[k])
-            if look not in known:
+            place[k] = len(order[up])
+            order[up].append(i)
+            look = (page.tag[i], page.names[i])
+            if (says := known.get(look)) is None:
                 some = [weights[w] for w in look[1] if w in weights]
                 by_tag = weights.get(f"<{look[0]}>", 0.0)
-                known[look] = (sum(some), max(some, default=0.0), min(some, default=0.0), 2.0 if some else 1.0 if look[1] else 0.0, max([by_tag, *some]), min([by_tag, *some]))
-            name[k] = known[look]
-            high, low = known[look][4:]
+                says = known[look] = (sum(some), max(some, default=0.0), min(some, default=0.0), 2.0 if some else 1.0 if look[1] else 0.0, max([by_tag, *some]), min([by_tag, *some]))
+            name[k] = says
             most, least, _ = path[p]
-            path[k] = (max(most, high), min(least, low), high if abs(high) > abs(low) else low)
-        for k in range(n - 1, 0, -1):  # a node comes after its parent
-            p = parent[k]
+            high, low = says[4], says[5]
+            path[k] = (high if high > most else most, low if low < least else least, high if abs(high) > abs(low) else low)
+    for k in range(n - 1, 0, -1):  # a node comes after its parent
+        p = parent[k]
+        if p >= 0:
             below[p] += below[k]
             kids[p] += 1
             if before[k] >= 0 and (before[p] < 0 or before[k] < before[p]):
                 before[p] = before[k]
-        at, free = [0] * n, [1] * n  # places in preorder, so that a subtree is a stretch
-        for k in range(1, n):
-            p = parent[k]
+    for k in range(n):  # places in preorder, so that a subtree is a stretch
+        p = parent[k]
+        if p >= 0:
             at[k] = free[p]
             free[p] += below[k]
             free[k] = at[k] + 1
-        if n == 1:
-            self.chars = own
-            return np.zeros((0, len(NAMES)))
-        at, below, kids, depth, place, before, up = (np.array(x) for x in (at, below, kids, depth, place, before, parent))
-        tag = np.array([_INDEX.get(t, _OTHER) for t in self.tag])
+    at, below, kids, depth, place, before, up, name, path = (np.array(x) for x in (at, below, kids, depth, place, before, parent, name, path))
+    tags = [t for page in pages for t in page.tag]
+    tag = np.array([_INDEX.get(t, _OTHER) for t in tags])
 
-        def whole(values: list | np.ndarray) -> np.ndarray:
-            """Sums over subtrees."""
-            dealt = np.zeros(n + 1, np.int64)
-            dealt[at + 1] = values
-            total = np.cumsum(dealt)
-            return total[at + below] - total[at]
+    def whole(values: Sequence[int] | np.ndarray) -> np.ndarray:
+        """Sums over subtrees."""
+        dealt = np.zeros(n + 1, np.int64)
+        dealt[at + 1] = values
+        total = np.cumsum(dealt)
+        return total[at + below] - total[at]
 
-        chars, linked, marks, words = (whole(x) for x in (own, linked, marks, words))
-        paragraphs, controls = whole(tag == TAGS.index("p")), whole([t in _CONTROLS for t in self.tag])
-        page, c, k = max(1, int(chars[0])), chars.astype(float), np.arange(1, n)
-        p = up[k]
+    own = np.array(own)
+    chars, linked, marks, words = (whole(x) for x in (own, linked, marks, words))
+    paragraphs, controls = whole(tag == TAGS.index("p")), whole([t in _CONTROLS for t in tags])
+    page_of = np.repeat(np.arange(len(pages)), np.diff(begins))
+    root = np.array(begins[:-1])[page_of]
+    some = np.bincount(page_of, (name[:, 2] < -1) | np.isin(tag, (TAGS.index("article"), TAGS.index("main"))))[page_of] > 0
+    c, k = chars.astype(float), np.flatnonzero(up >= 0)
+    for page, a, b in zip(pages, begins, begins[1:], strict=False):
+        page.chars = chars[a:b].tolist()
+    x = np.zeros((len(k), len(NAMES)))
+    if len(k):
+        p, here = up[k], np.arange(len(k))
         looks: dict[tuple, int] = {}
-        look = np.array([looks.setdefault((t, w), len(looks)) for t, w in zip(self.tag, self.names, strict=True)])
-        share = [_like(p, x[k], kids[p]) for x in (tag, look)]
+        look = np.array([looks.setdefault((t, w), len(looks)) for page in pages for t, w in zip(page.tag, page.names, strict=True)])
+        share = [_like(p, kind[k], kids[p]) for kind in (tag, look)]
         row = np.argsort(p * n + place[k], kind="stable")  # siblings beside each other
-        line, siblings = c[k][row], kids[p][row]
+        line, siblings, spot = c[k][row], kids[p][row], place[k][row]
         total = np.concatenate([[0.0], np.cumsum(line)])
-        here, spot = np.arange(n - 1), place[k][row]
         low, high = here - np.minimum(spot, 3), here + np.minimum(siblings - 1 - spot, 3) + 1
-        beside, same = np.empty(n - 1), np.zeros((n - 1, 2))
+        beside, same = np.empty(len(k)), np.zeros((len(k), 2))
         beside[row] = (total[high] - total[low] - line) / np.maximum(1, high - low - 1)
         ordered = tag[k][row]
         alike = (ordered[1:] == ordered[:-1]) & (spot[1:] > 0)
         same[row[1:], 0], same[row[:-1], 1] = alike, alike
-        path = np.array(path)
-        at_least = np.maximum(1, c)
-        some = bool((name[:, 2] < -1).any() or any(t in ("article", "main") for t in self.tag))
-        x = np.zeros((n - 1, len(NAMES)))
+        at_least, log = np.maximum(1, c), np.log1p
+        whole_page = np.maximum(1, c[root[k]])
         x[here, tag[k]] = 1
-        log = np.log1p
         numbers = (
             *name[k].T, *path[p].T, same[:, 0], same[:, 1], share[1], log(controls[k]),
-            depth[k], log(below[k]), log(kids[k]), log(np.array(own)[k]), log(c[k]), c[k] / below[k] / 100, linked[k] / at_least[k], c[k] / page,
-            np.maximum(0, before[k]) / page, log(paragraphs[k]), paragraphs[k] / max(1, paragraphs[0]), 100 * marks[k] / at_least[k], c[k] / np.maximum(1, words[k]),
+            depth[k], log(below[k]), log(kids[k]), log(own[k]), log(c[k]), c[k] / below[k] / 100, linked[k] / at_least[k], c[k] / whole_page,
+            np.maximum(0, before[k]) / whole_page, log(paragraphs[k]), paragraphs[k] / np.maximum(1, paragraphs[root[k]]), 100 * marks[k] / at_least[k], c[k] / np.maximum(1, words[k]),
             log(kids[p]), place[k] / kids[p], share[0], log(beside),
-            linked[p] / at_least[p], c[p] / page, np.full(n - 1, some), place[k] == kids[p] - 1, linked[k] == chars[k], log(words[k]),
+            linked[p] / at_least[p], c[p] / whole_page, some[k], place[k] == kids[p] - 1, linked[k] == chars[k], log(words[k]),
         )
         for i, values in enumerate(numbers, len(TAGS)):
             x[:, i] = values
-        self.chars = chars.tolist()
-        return x
+    return [x[a - i : b - i - 1] for i, (a, b) in enumerate(zip(begins, begins[1:], strict=False))]
 
 
 def _like(parent: np.ndarray, kind: np.ndarray, siblings: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewrecon.llm.boosting import Boosted
-from viewrecon.llm.dom import Page
+from viewrecon.llm.dom import Page, features
 from viewrecon.llm.names import spare, without
 
 LEAVE, TAKE, MIXED = range(3)
@@ -82,7 +82,7 @@ class Extractor:
     def texts(self, pages: list[str]) -> list[str]:
         """The main text of each page; the trees run over the nodes of all pages together."""
         parsed = [Page(h) for h in pages]
-        rows = [p.features(self.weights) for p in parsed]
+        rows = features(parsed, self.weights)
         full = [r for r in rows if len(r)]
         logp = self.trees.log_probabilities(np.vstack(full)) if full else np.zeros((0, 3))
         out, at = [], 0
@@ -374,8 +374,8 @@ def trained() -> tuple[Boosted, dict[str, float]]:
     x, y = [], []
     for half in (0, 1):
         weights = learned_names(pages[1 - half :: 2])
-        for page, labels in pages[half::2]:
-            x.append(page.features(weights)[labels >= 0])
+        for rows, (_, labels) in zip(features([p for p, _ in pages[half::2]], weights), pages[half::2], strict=True):
+            x.append(rows[labels >= 0])
             y.append(labels[labels >= 0])
     return Boosted(3).fit(np.vstack(x), np.concatenate(y)), learned_names(pages)
 
