@@ -68,3 +68,31 @@ def test_no_nested_loop_and_other_columns(spark, sf_dir):
     assert plain == sorted(map(tuple, h.op9_topk_search(spark, sf_dir).collect()))
     own = rows.selectExpr("id AS q", "0 AS j", "64 AS bits", "code AS value")
     assert "NestedLoop" not in h.flipped(own, 3)._jdf.queryExecution().toString()
+
+
+def test_probes_are_neither_rows_nor_broadcast(spark, tmp_path, monkeypatch):
+    """Random codes need far probes, of which there are many more than codes; none of them becomes a row of a plan."""
+    rng = random.Random(7)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(64)], 0) for i in range(3000)]
+    written, plain = [], h.stage
+
+    def stage(df, name):
+        out = plain(df, name)
+        if name == "found":
+            written.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(h, "stage", stage)
+    got = sorted(map(tuple, h.op9_topk_search(spark, write(spark, rows, tmp_path)).collect()))
+    assert got == brute(rows)
+    assert written and all("MapInArrow" in p and "Exchange" in p for p in written)
+
+
+def test_parts_of_a_group_and_few_lookups(spark, tmp_path, monkeypatch):
+    for name, value in (("PART", 20), ("PROBES", 64), ("CANDIDATES", 16), ("LOW", (2, 3))):
+        monkeypatch.setattr(h, name, value)
+    rng = random.Random(8)
+    near = [rng.uniform(-1, 1) for _ in range(64)]
+    rows = [(i, [x if rng.random() > 0.04 else -x for x in near], 0) for i in range(400)]
+    rows += [(i, [rng.uniform(-1, 1) for _ in range(64)], 0) for i in range(400, 700)]
+    assert sorted(map(tuple, h.op9_topk_search(spark, write(spark, rows, tmp_path)).collect())) == brute(rows)
