@@ -137,3 +137,61 @@ def test_components(spark):
 
 def test_expected_recall():
     assert n.recall_at_leaf(0.75) > 0.999999
+
+
+def near_copies(rng, crowds, size):
+    """Crowds of edited copies, most of which are linked with some others and few with all."""
+    rows = []
+    for c in range(crowds):
+        base = words(rng, 150)
+        for i in range(size):
+            w = list(base)
+            for _ in range(rng.randint(1, 3)):
+                w[rng.randrange(len(w))] = "".join(words(rng, 2))
+            rows.append((c * size + i, " ".join(w)))
+    return rows
+
+
+def test_a_block_returns_a_forest():
+    """Links of a dense block number fewer than its components, and join as much as all links do."""
+    rows = near_copies(random.Random(4), 2, 60)
+    sets = list(shingle_sets(pa.array([t for _, t in rows])))
+    held = [(role, i, i, s) for role in (0, 1) for i, s in enumerate(sets)]
+    every, kept = list(n._crossed(held)), []
+    both = [(1, 0, 0, role, i, i, rows[i][1]) for role in (0, 1) for i in range(len(rows))]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*both, strict=True)], ["path", "ob", "mb", "role", "id", "root", "text"])
+    for made in n._cross(iter([batch])):
+        kept += zip(made.column(0).to_pylist(), made.column(1).to_pylist(), strict=True)
+    assert len(every) > 1000 and len(kept) < len(rows)
+
+    def roots(edges):
+        root = list(range(len(rows)))
+        for _ in rows:
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert roots(every) == roots(kept)
+
+
+def test_turns_move_less_and_link_as_much(spark, monkeypatch):
+    rows = near_copies(random.Random(6), 3, 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = spark.createDataFrame([(c + 3 * t, c * 80 + i) for t in range(16) for c in range(3) for i in range(80)], "path long, id long")
+    none, moved, plain = spark.createDataFrame([], "u long, v long"), [], n._in_blocks
+
+    def in_blocks(texts, turn):
+        nodes = turn.groupBy("path").agg(F.first("size").alias("size"), F.first("n_out").alias("n_out"))
+        moved.append(nodes.agg(F.sum(n._moved())).first()[0] or 0)
+        return plain(texts, turn)
+
+    monkeypatch.setattr(n, "_in_blocks", in_blocks)
+    known, nodes = n._unsettled(classes, none)
+    open_ = known.join(nodes, "path")
+    found = []
+    for most in (10**9, 1):
+        links = n._block_links(docs, open_, none, most)
+        found.append((sum(moved), sorted(map(tuple, links.collect()))))
+        moved.clear()
+    assert found[0][1] == found[1][1] and len(found[0][1]) > 100
+    assert 3 * found[1][0] < found[0][0]

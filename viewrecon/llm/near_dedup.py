@@ -11,7 +11,9 @@ one component is closed; where up to LEAF classes are outside its largest compon
 all. A node that is mostly one component would hardly shrink: up to FEW classes outside it meet all classes of
 the node exactly, in blocks where intersections are counted for all pairs at once and only links come out; nodes
 of a level that have the component's pivot in common, one for each chosen coordinate at most, are one such
-group. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
+group. A block returns the links of a forest that joins its components, not every pair. Where blocks would move
+more than each text once, they are done in turns: nodes of other trees hold much the same classes, and what a turn
+has linked need not meet again in the next one. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
 level. As soon as all nodes that are open can be compared in blocks at the cost of moving each text four times, on
 average, that is done and ends the matter; so is what is left after LEVELS levels.
 
@@ -53,6 +55,8 @@ SURE = 56
 SLICE = 128
 #: Classes of a node on either side of a block.
 BLOCK = 256
+#: Shares of the nodes, in eighths, that the turns of comparing in blocks end at.
+TURNS = (1, 3, 8)
 #: Ids of documents up to which they are broadcast to find their texts; beyond it both sides are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -136,20 +140,30 @@ def _pairs_and_rest(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     return found, large.select("path", "id")
 
 
+def _moved() -> Column:
+    """Texts that a node moves to be compared in blocks."""
+    return F.col("size") * F.ceil(F.col("n_out") / BLOCK) + F.col("n_out") * F.ceil(F.col("size") / BLOCK)
+
+
+def _unsettled(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows: (path, id). Those with their root, and (path, size, most, n_out) of the nodes that aren't one component yet."""
+    known = stage(_rooted(rows, links), "known")
+    of_root = known.groupBy("path", "root").agg(F.count("*").alias("n"))
+    nodes = of_root.groupBy("path").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
+    nodes = stage(nodes.select("path", "size", F.col("most.root").alias("most"), (F.col("size") - F.col("most.n")).alias("n_out")), "open_nodes")
+    return known, nodes
+
+
 def _open(large: DataFrame, links: DataFrame, most_texts: int, last: bool) -> dict[str, DataFrame]:
     """large: (path, id) of large nodes. Those that aren't one component yet, by what is done with them, as (path, id, root, most,
     size, n_out): the root of the node's largest component, its classes and how many are outside that.
 
     All are compared in blocks if that moves no more than four times ``most_texts`` and compares each of as many with FEW others at most.
     """
-    known = stage(_rooted(large, links), "known")
-    of_root = known.groupBy("path", "root").agg(F.count("*").alias("n"))
-    nodes = of_root.groupBy("path").agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
-    nodes = stage(nodes.select("path", "size", F.col("most.root").alias("most"), (F.col("size") - F.col("most.n")).alias("n_out")), "open_nodes")
-    moved = F.col("size") * F.ceil(F.col("n_out") / BLOCK) + F.col("n_out") * F.ceil(F.col("size") / BLOCK)
+    known, nodes = _unsettled(large, links)
     dense = (F.col("n_out") <= FEW) & (2 * F.col("n_out") <= F.col("size"))
     way = F.when(F.col("n_out") <= LEAF, "few").when(dense, "dense").otherwise("block" if last else "branch")
-    sums = nodes.agg(F.sum(moved).alias("texts"), F.sum(F.col("size").cast("double") * F.col("n_out")).alias("pairs"), F.collect_set(way).alias("ways")).first()
+    sums = nodes.agg(F.sum(_moved()).alias("texts"), F.sum(F.col("size").cast("double") * F.col("n_out")).alias("pairs"), F.collect_set(way).alias("ways")).first()
     if not sums.ways:
         return {}
     if sums.texts <= 4 * most_texts and sums.pairs <= FEW * most_texts:
@@ -288,6 +302,23 @@ def _crossed(held: list[tuple[int, object, object, np.ndarray]]) -> Iterator[tup
                 yield left[i][1], right[j][1]
 
 
+def _forest(held: list[tuple[int, object, object, np.ndarray]]) -> Iterator[tuple[object, object]]:
+    """Of the links that ``_crossed`` finds those that join components which the ones before don't: fewer than there are components."""
+    up = {h[2]: h[2] for h in held}
+    root_of = {h[1]: h[2] for h in held}
+
+    def find(x: object) -> object:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for a, b in _crossed(held):
+        x, y = find(root_of[a]), find(root_of[b])
+        if x != y:
+            up[x] = y
+            yield a, b
+
+
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a group follow each other; a group has about 2 * BLOCK rows at most."""
     group, held, kind = None, [], None
@@ -295,7 +326,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     v: list = []
 
     def close() -> None:
-        for x, y in _crossed(held):
+        for x, y in _forest(held):
             u.append(x)
             v.append(y)
 
@@ -315,20 +346,35 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
 
 
-def _in_blocks(docs: DataFrame, open_: DataFrame) -> DataFrame:
-    """Links (u, v) across components inside each node, exactly: the classes outside its largest component meet
+def _in_blocks(texts: DataFrame, open_: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components inside each node, exactly: the classes outside its largest component meet
     all of its classes, in blocks that each are one group of rows. Texts move, pairs don't."""
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     sized = open_.withColumn("blocks", blocks("size")).withColumn("out_blocks", blocks("n_out"))
     place = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
     out = sized.filter("root <> most").select("path", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root")
     all_ = sized.select("path", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root")
-    texts = stage(_texts_of(docs, open_.select(F.col("id").alias("a"), F.col("id").alias("b"))), "texts")
     rows = out.union(all_).join(texts, "id").select("path", "ob", "mb", "role", "id", "root", "text")
     kind = open_.schema["id"].dataType.simpleString()
     return rows.repartition("path", "ob", "mb").sortWithinPartitions("path", "ob", "mb", "role", "id").mapInArrow(_cross, f"u {kind}, v {kind}")
 
 
+def _block_links(docs: DataFrame, open_: DataFrame, links: DataFrame, most_texts: int) -> DataFrame:
+    """``links`` and those that join the components inside each node of ``open_``, in turns if more than ``most_texts`` would move."""
+    open_ = stage(open_, "open_blocks")
+    texts = stage(_texts_of(docs, open_.select(F.col("id").alias("a"), F.col("id").alias("b"))), "texts")
+    moved = open_.groupBy("path").agg(F.first("size").alias("size"), F.first("n_out").alias("n_out")).agg(F.sum(_moved())).first()[0] or 0
+    begin, ends = 0, TURNS if moved > most_texts else TURNS[-1:]
+    for end in ends:
+        turn = open_.filter(F.pmod(F.xxhash64(F.lit(3), "path"), F.lit(8)).between(begin, end - 1))
+        if begin:
+            known, nodes = _unsettled(turn.select("path", "id"), links)
+            turn = join_counted(known, nodes, ["path"], "size")
+        links = components(stage(_in_blocks(texts, turn), "block_links").union(links))
+        begin = end
+    return links
+
+
 def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
     """The staged signatures of ``docs``, and (n, f1, f2, docs, root) of every class: how many rows it has and the first class of its component."""
     signed = stage(signatures(docs), "signatures")
@@ -344,7 +390,7 @@ def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tup
         ways = _open(large, links, n_classes, level == levels - 1)
         for way, group in (("dense", _dense), ("block", lambda nodes: nodes)):
             if way in ways:
-                links = components(stage(_in_blocks(docs, group(ways[way])), "block_links").union(links))
+                links = _block_links(docs, group(ways[way]), links, n_classes)
         more = _few(ways["few"]) if "few" in ways else None
         if "branch" not in ways:
             links = links if more is None else _linked(more, docs, classes, links, sift)
