@@ -58,3 +58,20 @@ def test_last_stage_decodes(spark, tmp_path):
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_encoding_gets_short_batches(spark, sf_dir, monkeypatch):
+    """Workers of the last stage hold 1,000 texts at most, and the session keeps its setting."""
+    import corpus_pipeline as p
+
+    name, seen, plain = "spark.sql.execution.arrow.maxRecordsPerBatch", [], p.scratch.stage
+
+    def stage(df, label):
+        seen.append((label, int(spark.conf.get(name))))
+        return plain(df, label)
+
+    monkeypatch.setattr(p.scratch, "stage", stage)
+    before = spark.conf.get(name)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert p.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+    assert seen == [("encoded", 1000)] and spark.conf.get(name) == before

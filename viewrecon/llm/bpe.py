@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewrecon.llm.names import spare, without
+from viewrecon.llm.scratch import trimmed
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -300,7 +301,7 @@ def _encoded(docs: DataFrame, vocabulary: str, text: str, checked: bool) -> Data
                 at += len(block)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names)
 
-    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], *results]))
+    return src.mapInArrow(trimmed(run), T.StructType([*src.schema.fields[:-1], *results]))
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
@@ -325,7 +326,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
             out = pa.array([c.decode(ids.as_py() or ()) for ids in batch.column(where)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], [*rest, "decoded"])
 
-    return src.mapInArrow(run, T.StructType([*src.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return src.mapInArrow(trimmed(run), T.StructType([*src.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -344,7 +345,7 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
                     of_text.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return src.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return src.mapInArrow(trimmed(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,6 @@ result; other columns pass through, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark.sql import functions as F
 
 from viewrecon.llm.components import components
 from viewrecon.llm.hot import join_counted
-from viewrecon.llm.scratch import stage
+from viewrecon.llm.scratch import short_batches, stage, trimmed
 from viewrecon.llm.shingles import _mix, shingle_sets
 
 PERCENT = 75
@@ -89,7 +88,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n, f1, f2, sig, low) of every row: set size, fingerprint of the set, signature and its low bytes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_sign, f"doc_id {kind}, n long, f1 long, f2 long, sig binary, low binary")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(_sign), f"doc_id {kind}, n long, f1 long, f2 long, sig binary, low binary")
 
 
 def _children(path: Column, level: int) -> Column:
@@ -231,7 +230,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     heads = dealt.select("a", "part").distinct().select("a", "part", F.lit(0).alias("first"), F.col("a").alias("id"))
     rows = heads.union(dealt.select("a", "part", F.lit(1).alias("first"), F.col("b").alias("id"))).join(texts, "id").select("a", "part", "first", "id", "text")
     kind = texts.schema["id"].dataType.simpleString()
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "first", "id").mapInArrow(_confirm, f"u {kind}, v {kind}")
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "first", "id").mapInArrow(trimmed(_confirm), f"u {kind}, v {kind}")
 
 
 def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -356,7 +355,7 @@ def _in_blocks(texts: DataFrame, open_: DataFrame) -> DataFrame:
     all_ = sized.select("path", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root")
     rows = out.union(all_).join(texts, "id").select("path", "ob", "mb", "role", "id", "root", "text")
     kind = open_.schema["id"].dataType.simpleString()
-    return rows.repartition("path", "ob", "mb").sortWithinPartitions("path", "ob", "mb", "role", "id").mapInArrow(_cross, f"u {kind}, v {kind}")
+    return rows.repartition("path", "ob", "mb").sortWithinPartitions("path", "ob", "mb", "role", "id").mapInArrow(trimmed(_cross), f"u {kind}, v {kind}")
 
 
 def _block_links(docs: DataFrame, open_: DataFrame, links: DataFrame, most_texts: int) -> DataFrame:
@@ -399,24 +398,12 @@ def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tup
     return signed, _rooted(classes.select("n", "f1", "f2", "docs", "id"), links).select("n", "f1", "f2", "docs", "root")
 
 
-@contextmanager
-def _short_batches(spark: SparkSession, most: int = 1000) -> Iterator[None]:
-    """Batches of whole texts that bound a worker's memory; the session's setting comes back afterwards."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(most, int(before)) if int(before) > 0 else most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def near_duplicates(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     sift: equal coordinates that a candidate pair needs to be confirmed; with 0 every candidate is.
     """
-    with _short_batches(docs.sparkSession):
+    with short_batches(docs.sparkSession):
         signed, roots = link_classes(docs, sift, levels)
         roots = stage(roots, "roots")
     usable = (F.col("n") > 0) & F.col("doc_id").isNotNull()

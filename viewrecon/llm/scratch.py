@@ -6,12 +6,15 @@ loss of any executor, and is computed once however often it is read afterwards.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _paths: dict[str, list[str]] = {}
@@ -51,6 +54,31 @@ def record() -> Iterator[list[str]]:
         _recorders[:] = [m for m in _recorders if m is not made]
 
 
+@contextmanager
+def short_batches(spark: SparkSession, most: int = 1000) -> Iterator[None]:
+    """Batches of whole texts that bound a worker's memory; the session's setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def trimmed(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task, after which the worker, which is kept for other tasks, returns the memory that it no longer uses."""
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete one staged table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
