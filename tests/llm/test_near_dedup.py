@@ -195,3 +195,34 @@ def test_turns_move_less_and_link_as_much(spark, monkeypatch):
         moved.clear()
     assert found[0][1] == found[1][1] and len(found[0][1]) > 100
     assert 3 * found[1][0] < found[0][0]
+
+
+def test_bitmaps_rule_out_no_link(spark):
+    """Of sets of all sizes and similarities every linked pair passes, most that share a passage don't, and neither does one component."""
+    rng, rows = random.Random(8), []
+    for size in (1, 3, 9, 40, 70, 130, 260, 1100):
+        passage = words(rng, size // 2)
+        for i in range(8):
+            w = words(rng, size + 4)
+            rows += [w, [*w[: 3 + len(w) - i * size // 25], *words(rng, i % 3)], passage + words(rng, size + 4 - len(passage))]
+    sets = list(shingle_sets(pa.array([" ".join(w) for w in rows])))
+    held = [(role, i, i, -1, len(s), n._parity(s)) for role in (0, 1) for i, s in enumerate(sets)]
+    ends = {i for a, x in enumerate(sets) for b, y in enumerate(sets[:a]) if linked(set(x.tolist()), set(y.tolist())) for i in (a, b)}
+    found = {i for i, _, _ in n._maybe(held)}
+    assert len(ends) > 50 and ends <= found and len(found) < len(ends) + 0.3 * (len(rows) - len(ends))
+    assert not list(n._maybe([(role, i, 7, -1, size, odd) for role, i, _, _, size, odd in held]))
+
+
+def test_texts_that_bitmaps_rule_out_stay(spark, monkeypatch):
+    """All of a crowd share a passage and meet in blocks; texts move of those only that may be linked."""
+    rows, moved, plain = crowd(random.Random(12), 150), [], n._in_blocks
+    rows = [r for r in rows if r[0] % 2 == 0 or r[0] < 40]
+
+    def in_blocks(texts, turn):
+        moved.append((turn.select("id").distinct().count(), texts.count()))
+        return plain(texts, turn)
+
+    monkeypatch.setattr(n, "_in_blocks", in_blocks)
+    monkeypatch.setattr(n, "_open", lambda large, links, most, last: {"block": n._unsettled(large, links)[0].join(n._unsettled(large, links)[1], "path")})
+    compare(spark, rows)
+    assert all(ids <= 40 and texts <= 40 for ids, texts in moved)

@@ -11,9 +11,11 @@ one component is closed; where up to LEAF classes are outside its largest compon
 all. A node that is mostly one component would hardly shrink: up to FEW classes outside it meet all classes of
 the node exactly, in blocks where intersections are counted for all pairs at once and only links come out; nodes
 of a level that have the component's pivot in common, one for each chosen coordinate at most, are one such
-group. A block returns the links of a forest that joins its components, not every pair. Where blocks would move
-more than each text once, they are done in turns: nodes of other trees hold much the same classes, and what a turn
-has linked need not meet again in the next one. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
+group. A block returns the links of a forest that joins its components, not every pair. Before texts move, parity bitmaps
+of the sets, of one to two bits a shingle, meet in the same blocks: bits that differ number no more than shingles that
+differ, so a class none of whose pairs is within the bound on those is linked with nothing there, and its text stays
+where it is. Where blocks would move more than each text once, they are done in turns: nodes of other trees hold much
+the same classes, and what a turn has linked need not meet again in the next one. Any other node branches on, as long as there is one; what unlinked classes share shrinks it at every
 level. As soon as all nodes that are open can be compared in blocks at the cost of moving each text four times, on
 average, that is done and ends the matter; so is what is left after LEVELS levels.
 
@@ -71,9 +73,16 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parity(shingles: np.ndarray) -> bytes:
+    """For each of one to two buckets a shingle, a power of two and 64 at least, whether it holds an odd number of them."""
+    n = 1 << max(6, (len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, f1, f2, sig, low = [], [], [], [], []
+        n, f1, f2, sig, low, odd = [], [], [], [], [], []
         with np.errstate(over="ignore"):
             for s in shingle_sets(batch.column(1)):
                 v = _signature(s)
@@ -82,13 +91,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 f2.append(int(_mix(s ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64).view(np.int64)))
                 sig.append(v.tobytes())
                 low.append(v.astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(sig, pa.binary()), pa.array(low, pa.binary())], ["doc_id", "n", "f1", "f2", "sig", "low"])
+                odd.append(_parity(s))
+        numbers, bytes_ = ([pa.array(x, kind) for x in columns] for columns, kind in (((n, f1, f2), pa.int64()), ((sig, low, odd), pa.binary())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, *bytes_], ["doc_id", "n", "f1", "f2", "sig", "low", "odd"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, f1, f2, sig, low) of every row: set size, fingerprint of the set, signature and its low bytes."""
+    """(doc_id, n, f1, f2, sig, low, odd) of every row: set size, fingerprint of the set, signature and its low bytes, parity bitmap."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(trimmed(_sign), f"doc_id {kind}, n long, f1 long, f2 long, sig binary, low binary")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(_sign), f"doc_id {kind}, n long, f1 long, f2 long, sig binary, low binary, odd binary")
 
 
 def _children(path: Column, level: int) -> Column:
@@ -233,13 +244,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "first", "id").mapInArrow(trimmed(_confirm), f"u {kind}, v {kind}")
 
 
-def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, text) of the documents in some pairs. Few ids are broadcast, so that the texts of all others stay where they are."""
-    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    rows = docs.select(F.col("doc_id").alias("id"), "text")
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` of some ids. Few ids are broadcast, so that all other rows stay where they are."""
+    ids = stage(ids.distinct(), "ids")
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")
 
 
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, text) of the documents in some pairs."""
+    return _only(docs.select(F.col("doc_id").alias("id"), "text"), pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
+
+
 def _rooted(rows: DataFrame, links: DataFrame, name: str = "id", root: str = "root") -> DataFrame:
     """``rows`` with the root of the component that the class ``name`` is in."""
     return rows.join(links.select(F.col("u").alias(name), F.col("v").alias(root)), name, "left").withColumn(root, F.coalesce(root, name))
@@ -345,30 +360,116 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
 
 
-def _in_blocks(texts: DataFrame, open_: DataFrame) -> DataFrame:
-    """Links (u, v) that join the components inside each node, exactly: the classes outside its largest component meet
-    all of its classes, in blocks that each are one group of rows. Texts move, pairs don't."""
+def _folded(odd: np.ndarray, words: int) -> np.ndarray:
+    """odd: bitmaps, one a row, as 64-bit words. The bitmaps of the same sets with fewer buckets."""
+    while odd.shape[1] > words:
+        half = odd.shape[1] // 2
+        odd = odd[:, :half] ^ odd[:, half:]
+    return odd
+
+
+def _maybe(held: list[tuple[int, object, object, object, int, bytes]]) -> Iterator[tuple[object, object, object]]:
+    """held: (role, id, root, most, n, odd), outsiders with role 0. (id, root, most) of those with a partner in another component
+    that the sizes and bitmaps don't rule out.
+
+    At 75 % similarity at most a seventh of na + nb shingles differ, and each of these changes one bit of a bitmap.
+    """
+    sides = [[h for h in held if h[0] == role] for role in (0, 1)]
+    code = {root: i for i, root in enumerate({h[2] for h in held})}
+    hit = [np.zeros(len(side), bool) for side in sides]
+    sizes, roots, words = ([np.array([f(h) for h in side], np.int64) for side in sides] for f in (lambda h: h[4], lambda h: code[h[2]], lambda h: len(h[5]) // 8))
+    for few in {*words[0].tolist(), *words[1].tolist()}:
+        for x, y in ((few, few), (few, 2 * few), (2 * few, few)):
+            left, right = (np.flatnonzero(w == k) for w, k in zip(words, (x, y), strict=True))
+            if not len(left) or not len(right):
+                continue
+            odd = [_folded(np.frombuffer(b"".join(side[i][5] for i in at), np.uint64).reshape(len(at), -1), few) for side, at in zip(sides, (left, right), strict=True)]
+            step = max(1, (1 << 20) // (len(right) * few))
+            for begin in range(0, len(left), step):
+                i = left[begin : begin + step]
+                differ = np.bitwise_count(odd[0][begin : begin + step, None, :] ^ odd[1][None, :, :]).sum(axis=2, dtype=np.int64)
+                na, nb = sizes[0][i][:, None], sizes[1][right][None, :]
+                may = ((100 + PERCENT) * differ <= (100 - PERCENT) * (na + nb)) & (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb)) & (roots[0][i][:, None] != roots[1][right][None, :])
+                hit[0][i] |= may.any(axis=1)
+                hit[1][right] |= may.any(axis=0)
+    for side, some in zip(sides, hit, strict=True):
+        yield from (side[i][1:4] for i in np.flatnonzero(some))
+
+
+def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a group follow each other; a group has about 2 * BLOCK rows at most."""
+    group, held, out, kinds = None, [], [], []
+
+    def close() -> None:
+        out.extend((group[0], *found) for found in _maybe(held))
+
+    def made() -> pa.RecordBatch:
+        columns = zip(*out, strict=True) if out else [()] * 4
+        batch = pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["path", "id", "root", "most"])
+        out.clear()
+        return batch
+
+    for batch in batches:
+        kinds = [batch.column(k).type for k in (0, 4, 5, 6)]
+        for path, ob, mb, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (path, ob, mb) != group:
+                close()
+                group, held = (path, ob, mb), []
+            held.append(tuple(row))
+        yield made()
+    close()
+    if out:
+        yield made()
+
+
+def _dealt(open_: DataFrame, held: DataFrame) -> DataFrame:
+    """The classes outside the largest component of each node beside all of its classes, in blocks that each are one group of
+    rows, as (path, ob, mb, role, id, root, most) and the columns of ``held``, which has a row for each id."""
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     sized = open_.withColumn("blocks", blocks("size")).withColumn("out_blocks", blocks("n_out"))
     place = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
-    out = sized.filter("root <> most").select("path", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root")
-    all_ = sized.select("path", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root")
-    rows = out.union(all_).join(texts, "id").select("path", "ob", "mb", "role", "id", "root", "text")
+    out = sized.filter("root <> most").select("path", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root", "most")
+    all_ = sized.select("path", F.explode(F.expr("sequence(0, out_blocks - 1)")).alias("ob"), place(2, "blocks").alias("mb"), F.lit(1).alias("role"), "id", "root", "most")
+    rows = out.union(all_).join(held, "id").select(*out.columns, *(c for c in held.columns if c != "id"))
+    return rows.repartition("path", "ob", "mb").sortWithinPartitions("path", "ob", "mb", "role", "id")
+
+
+def _in_blocks(texts: DataFrame, open_: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components inside each node, exactly: the classes outside its largest component meet
+    all of its classes. Texts move, pairs don't."""
     kind = open_.schema["id"].dataType.simpleString()
-    return rows.repartition("path", "ob", "mb").sortWithinPartitions("path", "ob", "mb", "role", "id").mapInArrow(trimmed(_cross), f"u {kind}, v {kind}")
+    return _dealt(open_, texts).drop("most").mapInArrow(trimmed(_cross), f"u {kind}, v {kind}")
+
+
+def _sieved(bitmaps: DataFrame, open_: DataFrame) -> DataFrame:
+    """``open_`` without the classes that can't be linked with another component in their node; bitmaps: (id, n, odd)."""
+    path, kind = (open_.schema[c].dataType.simpleString() for c in ("path", "id"))
+    found = _dealt(open_, bitmaps).mapInArrow(trimmed(_sieve), f"path {path}, id {kind}, root {kind}, most {kind}")
+    rows = stage(found.distinct(), "possible")
+    sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.count_if(F.col("root") != F.col("most")).alias("n_out"))
+    return join_counted(rows, stage(sizes, "possible"), ["path"], "size")
 
 
-def _block_links(docs: DataFrame, open_: DataFrame, links: DataFrame, most_texts: int) -> DataFrame:
-    """``links`` and those that join the components inside each node of ``open_``, in turns if more than ``most_texts`` would move."""
+def _block_links(docs: DataFrame, open_: DataFrame, links: DataFrame, most_texts: int, classes: DataFrame | None = None) -> DataFrame:
+    """``links`` and those that join the components inside each node of ``open_``, in turns if more than ``most_texts`` would move.
+
+    With the bitmaps of ``classes`` only the texts move that these don't rule out.
+    """
     open_ = stage(open_, "open_blocks")
+    if classes is not None:
+        bitmaps = stage(_only(classes.select("id", "n", "odd"), open_.select("id")), "bitmaps")
+        open_ = stage(_sieved(bitmaps, open_), "open_blocks")
+    moved = open_.groupBy("path").agg(F.first("size").alias("size"), F.first("n_out").alias("n_out")).agg(F.sum(_moved())).first()[0]
+    if not moved:
+        return links
     texts = stage(_texts_of(docs, open_.select(F.col("id").alias("a"), F.col("id").alias("b"))), "texts")
-    moved = open_.groupBy("path").agg(F.first("size").alias("size"), F.first("n_out").alias("n_out")).agg(F.sum(_moved())).first()[0] or 0
     begin, ends = 0, TURNS if moved > most_texts else TURNS[-1:]
     for end in ends:
         turn = open_.filter(F.pmod(F.xxhash64(F.lit(3), "path"), F.lit(8)).between(begin, end - 1))
         if begin:
             known, nodes = _unsettled(turn.select("path", "id"), links)
             turn = join_counted(known, nodes, ["path"], "size")
+            turn = turn if classes is None else _sieved(bitmaps, turn)
         links = components(stage(_in_blocks(texts, turn), "block_links").union(links))
         begin = end
     return links
@@ -378,7 +479,7 @@ def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tup
     """The staged signatures of ``docs``, and (n, f1, f2, docs, root) of every class: how many rows it has and the first class of its component."""
     signed = stage(signatures(docs), "signatures")
     usable = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = stage(usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs"), F.first("sig").alias("sig"), F.first("low").alias("low")), "classes")
+    classes = stage(usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs"), F.first("sig").alias("sig"), F.first("low").alias("low"), F.first("odd").alias("odd")), "classes")
     kind, n_classes = classes.schema["id"].dataType.simpleString(), classes.count()
     links = docs.sparkSession.createDataFrame([], f"u {kind}, v {kind}")
     trees = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(TREES).cast("long")))
@@ -389,7 +490,7 @@ def link_classes(docs: DataFrame, sift: int = SIFT, levels: int = LEVELS) -> tup
         ways = _open(large, links, n_classes, level == levels - 1)
         for way, group in (("dense", _dense), ("block", lambda nodes: nodes)):
             if way in ways:
-                links = _block_links(docs, group(ways[way]), links, n_classes)
+                links = _block_links(docs, group(ways[way]), links, n_classes, classes)
         more = _few(ways["few"]) if "few" in ways else None
         if "branch" not in ways:
             links = links if more is None else _linked(more, docs, classes, links, sift)
