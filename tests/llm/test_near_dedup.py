@@ -226,3 +226,15 @@ def test_texts_that_bitmaps_rule_out_stay(spark, monkeypatch):
     monkeypatch.setattr(n, "_open", lambda large, links, most, last: {"block": n._unsettled(large, links)[0].join(n._unsettled(large, links)[1], "path")})
     compare(spark, rows)
     assert all(ids <= 40 and texts <= 40 for ids, texts in moved)
+
+
+def test_bitmaps_of_a_large_node_move_few_times(spark):
+    """3,000 classes, a third of them outside the largest component, meet as two rows a class and not as a dozen."""
+    open_ = spark.range(3000).selectExpr("1L AS path", "id", "if(id < 2000, 0L, id) AS root", "0L AS most", "3000L AS size", "1000L AS n_out")
+    rng = random.Random(2)
+    sets = list(shingle_sets(pa.array([" ".join(words(rng, 20)) for _ in range(2999)])))
+    sets.append(sets[0])
+    bitmaps = spark.createDataFrame([(i, len(s), n._parity(s)) for i, s in enumerate(sets)], "id long, n long, odd binary")
+    assert n._dealt(open_, bitmaps, n.WIDE).count() <= 2 * 3000
+    found = [r.id for r in n._sieved(bitmaps, open_).collect()]
+    assert {0, 2999} <= set(found) and len(found) < 100

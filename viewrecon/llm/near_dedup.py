@@ -56,6 +56,8 @@ SURE = 56
 SLICE = 128
 #: Classes of a node on either side of a block.
 BLOCK = 256
+#: The same of blocks where bitmaps meet, which are small: the larger, the fewer copies of a large node's rows move.
+WIDE = 2048
 #: Shares of the nodes, in eighths, that the turns of comparing in blocks end at.
 TURNS = (1, 3, 8)
 #: Ids of documents up to which they are broadcast to find their texts; beyond it both sides are shuffled.
@@ -397,7 +399,7 @@ def _maybe(held: list[tuple[int, object, object, object, int, bytes]]) -> Iterat
 
 
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a group follow each other; a group has about 2 * BLOCK rows at most."""
+    """Rows of a group follow each other; a group has about 2 * WIDE rows at most."""
     group, held, out, kinds = None, [], [], []
 
     def close() -> None:
@@ -422,10 +424,10 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
-def _dealt(open_: DataFrame, held: DataFrame) -> DataFrame:
+def _dealt(open_: DataFrame, held: DataFrame, block: int) -> DataFrame:
     """The classes outside the largest component of each node beside all of its classes, in blocks that each are one group of
     rows, as (path, ob, mb, role, id, root, most) and the columns of ``held``, which has a row for each id."""
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
     sized = open_.withColumn("blocks", blocks("size")).withColumn("out_blocks", blocks("n_out"))
     place = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
     out = sized.filter("root <> most").select("path", place(1, "out_blocks").alias("ob"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("mb"), F.lit(0).alias("role"), "id", "root", "most")
@@ -438,13 +440,13 @@ def _in_blocks(texts: DataFrame, open_: DataFrame) -> DataFrame:
     """Links (u, v) that join the components inside each node, exactly: the classes outside its largest component meet
     all of its classes. Texts move, pairs don't."""
     kind = open_.schema["id"].dataType.simpleString()
-    return _dealt(open_, texts).drop("most").mapInArrow(trimmed(_cross), f"u {kind}, v {kind}")
+    return _dealt(open_, texts, BLOCK).drop("most").mapInArrow(trimmed(_cross), f"u {kind}, v {kind}")
 
 
 def _sieved(bitmaps: DataFrame, open_: DataFrame) -> DataFrame:
     """``open_`` without the classes that can't be linked with another component in their node; bitmaps: (id, n, odd)."""
     path, kind = (open_.schema[c].dataType.simpleString() for c in ("path", "id"))
-    found = _dealt(open_, bitmaps).mapInArrow(trimmed(_sieve), f"path {path}, id {kind}, root {kind}, most {kind}")
+    found = _dealt(open_, bitmaps, WIDE).mapInArrow(trimmed(_sieve), f"path {path}, id {kind}, root {kind}, most {kind}")
     rows = stage(found.distinct(), "possible")
     sizes = rows.groupBy("path").agg(F.count("*").alias("size"), F.count_if(F.col("root") != F.col("most")).alias("n_out"))
     return join_counted(rows, stage(sizes, "possible"), ["path"], "size")
